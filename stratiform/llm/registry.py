@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stratiform.llm.packing import op10_sum_of_squares_packing
+from stratiform.llm.sharding import op1_kd_tree_shards
 from stratiform.llm.token_files import op9_ranked_varbyte_ids
 
 _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
+    op1_kd_tree_shards,
     op9_ranked_varbyte_ids,
     op10_sum_of_squares_packing,
 ]
