@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stratiform.llm.near_dedup import op8_minhash_near_duplicates
 from stratiform.llm.packing import op10_sum_of_squares_packing
 from stratiform.llm.secrets import op2_assignment_secrets
 from stratiform.llm.sharding import op1_kd_tree_shards
@@ -14,6 +15,7 @@ from stratiform.llm.token_files import op9_ranked_varbyte_ids
 _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_kd_tree_shards,
     op2_assignment_secrets,
+    op8_minhash_near_duplicates,
     op9_ranked_varbyte_ids,
     op10_sum_of_squares_packing,
 ]
