@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from stratiform.llm.near_dedup import op8_minhash_near_duplicates
 from stratiform.llm.packing import op10_sum_of_squares_packing
+from stratiform.llm.quality_classifier import op5_attention_mil_quality
 from stratiform.llm.quality_rules import op6_kneser_ney_rules
 from stratiform.llm.secrets import op2_assignment_secrets
 from stratiform.llm.sharding import op1_kd_tree_shards
@@ -16,6 +17,7 @@ from stratiform.llm.token_files import op9_ranked_varbyte_ids
 _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_kd_tree_shards,
     op2_assignment_secrets,
+    op5_attention_mil_quality,
     op6_kneser_ney_rules,
     op8_minhash_near_duplicates,
     op9_ranked_varbyte_ids,
