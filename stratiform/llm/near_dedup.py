@@ -184,5 +184,17 @@ def near_duplicates(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def keep_one(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """One row of each near-duplicate class, that of the least doc_id, with all columns; of rows with equal doc_id one stays."""
+    near = staged(near_duplicates(docs, similarity), "near")
+    gone = near.where("not kept").select("doc_id").distinct()
+    few = gone.count() <= MOST_BROADCAST
+    out = docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(docs.columns)
+    again = near.where("kept and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id")
+    if again.isEmpty():
+        return out
+    return out.join(again, "doc_id", "left_anti").select(docs.columns).unionByName(out.join(again, "doc_id", "left_semi").select(docs.columns).dropDuplicates(["doc_id"]))
+
+
 def op8_minhash_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
