@@ -193,3 +193,59 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def crc_bucket(column: str, modulus: int):
     """crc32 of the column as text, modulo ``modulus``; a null id counts as the empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+# --- blobs: many numbers in one row -------------------------------------------
+
+
+def bucketed(df: DataFrame, buckets: int) -> DataFrame:
+    """Rows of a bucket side by side, for ``by_bucket``."""
+    return df.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+
+
+def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    """All rows of each bucket; what a bucket holds is bounded by the number of buckets."""
+    now, held = None, []
+    for batch in batches:
+        keys = batch.column("bucket").to_numpy()
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if b > a:
+                if held and keys[a] != now:
+                    yield now, pa.Table.from_batches(held)
+                    held = []
+                now = int(keys[a])
+                held.append(batch.slice(a, b - a))
+    if held:
+        yield now, pa.Table.from_batches(held)
+
+
+def joined_blob(column: pa.ChunkedArray, kind) -> np.ndarray:
+    """The numbers of all blobs, one after another."""
+    parts = [np.frombuffer(x.as_buffer(), kind) for x in column if x.is_valid]
+    return np.concatenate(parts) if parts else np.empty(0, kind)
+
+
+def read_array(folder: str, name: str, kind) -> np.ndarray:
+    """An array of a file in a shared folder: memory-mapped where the folder is a local path, else read."""
+    import pyarrow.fs as pafs
+
+    fs, base = pafs.FileSystem.from_uri(folder)
+    if isinstance(fs, pafs.LocalFileSystem):
+        with pa.memory_map(f"{base}/{name}") as m:
+            return np.frombuffer(m.read_buffer(), kind)
+    with fs.open_input_file(f"{base}/{name}") as f:
+        return np.frombuffer(f.read(), kind)
+
+
+def write_bytes(folder: str, name: str, *parts: bytes) -> None:
+    """Write a file of a shared folder under a temporary name, then move it into place: a retried task leaves no half."""
+    import pyarrow.fs as pafs
+
+    fs, base = pafs.FileSystem.from_uri(folder)
+    fs.create_dir(base)
+    own = f"{base}/{name}.{uuid.uuid4().hex}"
+    with fs.open_output_stream(own) as out:
+        for p in parts:
+            out.write(p)
+    fs.move(own, f"{base}/{name}")

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stratiform.llm.decontamination import op4_simhash_decontamination
+from stratiform.llm.language_model import op3_elias_fano_lm
 from stratiform.llm.near_dedup import op8_minhash_near_duplicates
 from stratiform.llm.packing import op10_sum_of_squares_packing
 from stratiform.llm.quality_classifier import op5_attention_mil_quality
@@ -18,6 +19,7 @@ from stratiform.llm.token_files import op9_ranked_varbyte_ids
 _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op1_kd_tree_shards,
     op2_assignment_secrets,
+    op3_elias_fano_lm,
     op4_simhash_decontamination,
     op5_attention_mil_quality,
     op6_kneser_ney_rules,
