@@ -14,6 +14,7 @@ from stratiform.llm.quality_classifier import op5_attention_mil_quality
 from stratiform.llm.quality_rules import op6_kneser_ney_rules
 from stratiform.llm.secrets import op2_assignment_secrets
 from stratiform.llm.sharding import op1_kd_tree_shards
+from stratiform.llm.suffix_dedup import op7_suffix_array_repeats
 from stratiform.llm.token_files import op9_ranked_varbyte_ids
 
 _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
@@ -23,6 +24,7 @@ _QUERIES: list[Callable[[SparkSession, str], DataFrame]] = [
     op4_simhash_decontamination,
     op5_attention_mil_quality,
     op6_kneser_ney_rules,
+    op7_suffix_array_repeats,
     op8_minhash_near_duplicates,
     op9_ranked_varbyte_ids,
     op10_sum_of_squares_packing,
