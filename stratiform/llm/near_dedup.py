@@ -5,9 +5,10 @@
    a bin picked by its own hash sequence (optimal densification). 32 bands of 4 bins are the buckets: a pair at
    similarity 0.75 shares no bucket with probability below 1e-5.
 3. Star-shaped candidates: each bucket links its members to its least doc_id only; a link is confirmed on the full
-   sets. A bucket that still holds two components gets another star, from a document of its rarest component to the
-   members of the others, and loses that document; so every pair that could join components is tried. From the third
-   round on such buckets are split by a further band, so that large buckets of merely related texts fall apart.
+   sets. The members that are then in another component than the centre form the bucket anew, with a new centre,
+   until no bucket holds two components; after SPLIT_AFTER rounds such buckets are split by a further band, so that
+   many merely related texts fall apart instead of being compared pair by pair. A pair that could join components
+   is tried unless one of its two is linked to the centre, and the other not, in every bucket they share.
 4. Components by alternating large and small stars.
 
 Bucket counts and centres are map-side combined, joins on centres and buckets are equi-joins whose skewed
@@ -29,15 +30,15 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import documents, mix, scratch, ship, shingles, slices, staged, text_column, word_hashes
+from stratiform.llm.common import discard, documents, mix, ship, shingles, slices, staged, text_column, word_hashes
 from stratiform.llm.tokens import byte_blobs
 
 BINS, BAND_BINS = 128, 4
 BANDS = BINS // BAND_BINS
 SIMILARITY = (75, 100)
 MOST_BROADCAST = 1_000_000
-#: The round from which buckets are split by a further band.
-SPLIT_FROM = 3
+#: The round after which buckets are split by a further band.
+SPLIT_AFTER = 3
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _EDGES = (np.arange(BINS, dtype=np.uint64) << np.uint64(57)).astype(np.uint64)
 
@@ -109,43 +110,66 @@ def _confirm(batches: Iterator[pa.RecordBatch], similarity: tuple[int, int]) ->
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(kept, pa.bool_())], names=["a", "b", "linked"])
 
 
+def _small(df: DataFrame, n: int) -> DataFrame:
+    """The frame, to be broadcast if it has few enough rows of a few numbers; else it is joined by shuffle."""
+    return F.broadcast(df) if n <= MOST_BROADCAST else df
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """Connected components of edges (a, b): node and the least node reachable."""
-    current, last = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges"), None
+    """Connected components of edges (a, b): node and the least node reachable, for all nodes but the least ones."""
+    current = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges")
     while True:
-        state = current.agg(F.count("*"), F.sum((F.xxhash64("u", "v") % 1_000_003).cast("decimal(38,0)"))).first()
-        if state == last:
-            return current.select(F.col("u").alias("node"), F.col("v").alias("component"))
-        last = state
+        n = current.count()
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.union(least.where("u != m").select("u", F.col("m").alias("v"))).where("u != v").distinct()
+        # large star: every neighbour above a node, and the node itself, to the node's least neighbour
+        large = both.join(_small(least, 2 * n), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.where("u != m").select("u", F.col("m").alias("v"))).where("u != v").distinct()
+        large = staged(large, "edges")
+        # small star: the neighbours below a node to the least of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        current = staged(small.union(least.select("u", F.col("m").alias("v"))).where("u != v").distinct(), "edges")
+        small = large.join(_small(least, 2 * n), "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
+        current = staged(small, "edges")
+        # done when every node has one edge, to a node that has none
+        twice = current.groupBy("u").agg(F.count("*").alias("n"), F.min("v").alias("v"))
+        roots = twice.select(F.col("u").alias("v"))
+        if twice.where("n > 1").isEmpty() and current.join(_small(roots, current.count()), "v", "left_semi").isEmpty():
+            return current.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels (node, component) brought up to date with more links (a, b)."""
+    n = labels.count()
+    named = links
+    for x in ("a", "b"):
+        named = named.join(_small(labels.select(F.col("node").alias(x), F.col("component").alias(f"{x}_")), n), x, "left").withColumn(x, F.coalesce(f"{x}_", x)).drop(f"{x}_")
+    new = components(named).select(F.col("node").alias("component"), F.col("component").alias("to"))
+    m = new.count()
+    old = labels.join(_small(new, m), "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+    return staged(old.unionByName(new.select(F.col("component").alias("node"), F.col("to").alias("component"))).groupBy("node").agg(F.min("component").alias("component")), "labels")
 
 
 def _stars(rows: DataFrame) -> DataFrame:
-    """Members of buckets that hold two components at least, with the centre: the least doc of the bucket's rarest component."""
-    sides = rows.groupBy("bucket", "last", "c").agg(F.count("*").alias("n"), F.min("doc").alias("doc"))
-    chosen = sides.groupBy("bucket", "last").agg(F.count("*").alias("sides"), F.min(F.struct("n", "doc", "c")).alias("least")).where("sides > 1")
+    """Members of buckets that hold two components at least, with the centre: the least doc."""
+    chosen = rows.groupBy("bucket", "last").agg(F.min(F.struct("doc", "c")).alias("least"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
     return rows.join(chosen.select("bucket", "last", F.col("least.doc").alias("centre"), F.col("least.c").alias("centre_c")), ["bucket", "last"])
 
 
 def _split(rows: DataFrame, reps: DataFrame) -> DataFrame:
     """Buckets split by each later band: a pair stays together in as many of them as it shares bands."""
-    banded = rows.join(reps.select(F.col("doc_id").alias("doc"), "bands"), "doc").select("doc", "bucket", "last", F.posexplode("bands").alias("band", "key"))
-    return banded.where("band > last").select(F.xxhash64("bucket", "key").alias("bucket"), F.col("band").alias("last"), "doc")
+    banded = rows.join(reps.select(F.col("doc_id").alias("doc"), "bands"), "doc").select("doc", "c", "bucket", "last", F.posexplode("bands").alias("band", "key"))
+    return banded.where("band > last").select(F.xxhash64("bucket", "key").alias("bucket"), F.col("band").alias("last"), "doc", "c")
 
 
-def _confirmed(edges: DataFrame, sets: DataFrame, sizes: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+def _confirmed(edges: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """The edges (a, b) whose full sets are similar."""
+    edges = staged(edges.distinct(), "edges")
+    n = edges.count()
+    centres = edges.select(F.col("a").alias("doc_id")).distinct()
     part, whole = similarity
-    side = lambda x: sizes.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n{x}"))
-    full = lambda x: sets.select(F.col("doc_id").alias(x), F.col("shingles").alias(f"s{x}"))
-    possible = edges.distinct().join(side("b"), "b").join(side("a"), "a").where(F.least("na", "nb") * whole >= F.greatest("na", "nb") * part).select("a", "b")
-    pairs = possible.join(full("b"), "b").join(full("a"), "a").select("a", "b", "sa", "sb")
+    sb = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb")).join(_small(edges, n), "b")
+    sa = sets.join(_small(centres, n), "doc_id").select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
+    size = F.octet_length("sa"), F.octet_length("sb")
+    pairs = sb.join(sa, "a").where(F.least(*size) * whole >= F.greatest(*size) * part).select("a", "b", "sa", "sb")
     return pairs.mapInArrow(lambda x: _confirm(x, similarity), "a long, b long, linked boolean").where("linked").select("a", "b")
 
 
@@ -164,21 +188,27 @@ def near_duplicates(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -
     ids = members.select(F.col("doc").alias("doc_id")).distinct()
     few = ids.count() <= MOST_BROADCAST
     sets = staged(texts.join(F.broadcast(ids) if few else ids, "doc_id").mapInArrow(_full_sets, "doc_id long, shingles binary").dropDuplicates(["doc_id"]), "sets")
-    sizes, path, rounds = reps.select("doc_id", "n_shingles"), scratch(spark, "links"), 0
+    labels, rounds = None, 0
     while True:
         rounds += 1
-        edges = members.where("doc != centre") if rounds == 1 else members.where("c != centre_c")
-        _confirmed(edges.select(F.least("doc", "centre").alias("a"), F.greatest("doc", "centre").alias("b")), sets, sizes, similarity).write.mode("append").parquet(path)
-        found = components(spark.read.schema("a long, b long").parquet(path))
-        # A bucket goes on without its centre while it holds more than one component.
-        rest = members.where("doc != centre").select("bucket", "last", "doc") if rounds > 1 else members.select("bucket", "last", "doc")
-        if rounds >= SPLIT_FROM:
+        links = staged(_confirmed(members.where("doc != centre").select(F.col("centre").alias("a"), F.col("doc").alias("b")), sets, similarity), "links")
+        if labels is None:
+            labels = components(links)
+        elif not links.isEmpty():
+            labels = _merged(labels, links)
+        # A bucket goes on with the members that are in another component than its centre.
+        n = labels.count()
+        named = members.select("bucket", "last", "doc", "centre")
+        for x in ("doc", "centre"):
+            named = named.join(_small(labels.select(F.col("node").alias(x), F.col("component").alias(f"{x}_c")), n), x, "left").withColumn(f"{x}_c", F.coalesce(f"{x}_c", x))
+        rest = named.where("doc_c != centre_c").select("bucket", "last", "doc", F.col("doc_c").alias("c"))
+        if rounds >= SPLIT_AFTER:
             rest = _split(rest, reps)
-        named = rest.join(found.select(F.col("node").alias("doc"), F.col("component").alias("c")), "doc", "left").withColumn("c", F.coalesce("c", "doc"))
-        members = staged(_stars(named), "buckets")
+        old, members = members, staged(_stars(rest), "buckets")
+        discard(old)
         if members.isEmpty():
             break
-    nodes = found.select(F.col("node").alias("rep"), "component")
+    nodes = labels.select(F.col("node").alias("rep"), "component")
     resolved = classes.join(nodes, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     out = profile.join(resolved, "set_key", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
