@@ -2,13 +2,13 @@
 
 Every layer reads what is after its own high-water mark, writes once, and takes counts and the new mark from what it
 wrote in one aggregate. Marks of all layers are committed by one write at the end; a failed run commits none, and its
-rerun skips Bronze rows of a run id that is already there.
+rerun skips what its run id has already written.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -100,8 +100,13 @@ def run(spark: SparkSession, source: DataFrame, config: Config, as_of: dt.dateti
     def since(df: DataFrame, name: str) -> DataFrame:
         return tables.incremental(df, config.watermark, control.get(config.table, name), config.watermark_fallback)
 
-    def step(name: str, write: Callable[[], None], path: str, run_column: str) -> int:
-        write()
+    def once(rows: DataFrame, path: str, run_column: str, partition_by: Sequence[str] = ()) -> None:
+        """Append, unless this run's rows are there already (a rerun after a failure)."""
+        if not tables.exists(spark, path) or spark.read.schema(rows.schema).parquet(path).where(F.col(run_column) == run_id).isEmpty():
+            tables.append(rows, path, partition_by)
+
+    def step(name: str, rows: DataFrame, path: str, run_column: str) -> int:
+        once(rows, path, run_column)
         n, mark = _measure(spark, path, config.watermark, run_column, run_id)
         marks[name] = Mark(mark, n)
         out.rows[name] = n
@@ -110,20 +115,18 @@ def run(spark: SparkSession, source: DataFrame, config: Config, as_of: dt.dateti
 
     try:
         path = config.path("bronze")
-        done = tables.exists(spark, path) and not spark.read.parquet(path).where(F.col("pipeline_run_id") == run_id).isEmpty()
-        rows = bronze(since(source, "bronze"), config, run_id, as_of)
-        if step("bronze", (lambda: None) if done else (lambda: tables.append(rows, path)), path, "pipeline_run_id"):
+        if step("bronze", bronze(since(source, "bronze"), config, run_id, as_of), path, "pipeline_run_id"):
             layer = "silver"
             good, bad = silver(spark.read.parquet(path).where(F.col("pipeline_run_id") == run_id), config, run_id, as_of)
-            tables.append(bad, config.path("quarantine"), ["quarantine_date"])
-            step("silver", lambda: tables.append(good, config.path("silver")), config.path("silver"), "lineage_session_id")
+            once(bad, config.path("quarantine"), "session_id", ["quarantine_date"])
+            step("silver", good, config.path("silver"), "lineage_session_id")
             out.quarantined = out.rows["bronze"] - out.rows["silver"]
             out.pass_rate = round(100.0 * out.rows["silver"] / out.rows["bronze"], 2)
             marks["silver"] = Mark(marks["silver"].watermark, out.rows["silver"], out.quarantined)
             if out.rows["silver"]:
                 layer = "gold"
                 made = gold(spark.read.parquet(config.path("silver")).where(F.col("lineage_session_id") == run_id), config, as_of)
-                step("gold", lambda: tables.append(made, config.path("gold")), config.path("gold"), "lineage_session_id")
+                step("gold", made, config.path("gold"), "lineage_session_id")
                 layer = "dim"
                 have = spark.read.parquet(config.path("dim")) if tables.exists(spark, config.path("dim")) else None
                 have = None if have is None or have.isEmpty() else have
