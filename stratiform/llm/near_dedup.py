@@ -5,10 +5,10 @@
    a bin picked by its own hash sequence (optimal densification). 32 bands of 4 bins are the buckets: a pair at
    similarity 0.75 shares no bucket with probability below 1e-5.
 3. Star-shaped candidates: each bucket links its members to its least doc_id only; a link is confirmed on the full
-   sets. The members that are then in another component than the centre form the bucket anew, with a new centre,
-   until no bucket holds two components; after SPLIT_AFTER rounds such buckets are split by a further band, so that
-   many merely related texts fall apart instead of being compared pair by pair. A pair that could join components
-   is tried unless one of its two is linked to the centre, and the other not, in every bucket they share.
+   sets. The members that are then in another component than the centre form the bucket anew, split by each of the
+   next FAN bands, with new centres, until no bucket holds two components: many merely related texts fall apart
+   instead of being compared pair by pair. A pair that could join components is tried unless one of its two is
+   linked to the centre, and the other not, in every bucket they share.
 4. Components by alternating large and small stars.
 
 Bucket counts and centres are map-side combined, joins on centres and buckets are equi-joins whose skewed
@@ -37,8 +37,8 @@ BINS, BAND_BINS = 128, 4
 BANDS = BINS // BAND_BINS
 SIMILARITY = (75, 100)
 MOST_BROADCAST = 1_000_000
-#: The round after which buckets are split by a further band.
-SPLIT_AFTER = 3
+#: Bands by which a bucket that holds several components is split for the next round.
+FAN = 3
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _EDGES = (np.arange(BINS, dtype=np.uint64) << np.uint64(57)).astype(np.uint64)
 
@@ -155,9 +155,10 @@ def _stars(rows: DataFrame) -> DataFrame:
 
 
 def _split(rows: DataFrame, reps: DataFrame) -> DataFrame:
-    """Buckets split by each later band: a pair stays together in as many of them as it shares bands."""
-    banded = rows.join(reps.select(F.col("doc_id").alias("doc"), "bands"), "doc").select("doc", "c", "bucket", "last", F.posexplode("bands").alias("band", "key"))
-    return banded.where("band > last").select(F.xxhash64("bucket", "key").alias("bucket"), F.col("band").alias("last"), "doc", "c")
+    """Buckets split by each of the next FAN bands: a pair that shares ten bands parts from all of them with probability 1e-5."""
+    banded = rows.join(reps.select(F.col("doc_id").alias("doc"), "bands"), "doc").withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(FAN))))
+    band = (F.col("last") + F.col("step")) % BANDS
+    return banded.select(F.xxhash64("bucket", F.element_at("bands", band + 1)).alias("bucket"), band.alias("last"), "doc", "c")
 
 
 def _confirmed(edges: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -202,9 +203,7 @@ def near_duplicates(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -
         for x in ("doc", "centre"):
             named = named.join(_small(labels.select(F.col("node").alias(x), F.col("component").alias(f"{x}_c")), n), x, "left").withColumn(f"{x}_c", F.coalesce(f"{x}_c", x))
         rest = named.where("doc_c != centre_c").select("bucket", "last", "doc", F.col("doc_c").alias("c"))
-        if rounds >= SPLIT_AFTER:
-            rest = _split(rest, reps)
-        old, members = members, staged(_stars(rest), "buckets")
+        old, members = members, staged(_stars(_split(rest, reps)), "buckets")
         discard(old)
         if members.isEmpty():
             break
