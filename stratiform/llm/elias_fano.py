@@ -55,7 +55,7 @@ class EliasFano:
             over = shift + np.uint64(bits) > 64
             np.add.at(low, word[over] + 1, part[over] >> (np.uint64(64) - shift[over]))
         tops = (values >> np.uint64(bits)).astype(np.int64) + np.arange(n)
-        length = (universe >> bits) + n + 1
+        length = (universe >> bits) + n + 2
         high = np.zeros(length // 64 + 1, np.uint64)
         np.add.at(high, tops >> 6, np.uint64(1) << (tops & 63).astype(np.uint64))
         ones = np.zeros(-(-(len(high) + 1) // 2) * 2, np.uint32)
@@ -92,13 +92,18 @@ class EliasFano:
         """The first position whose value is at least x, and that value; position n and value 2**64 - 1 if there is none."""
         x = np.asarray(x, np.uint64)
         tops = np.minimum(x >> np.uint64(self.low_bits), np.uint64(self.universe >> self.low_bits)).astype(np.int64)
-        at = self._after_zeros(tops)
-        value = np.full(len(x), 0xFFFFFFFFFFFFFFFF, np.uint64)
-        left = np.flatnonzero(at < self.n)
+        at, end = self._after_zeros(tops), self._after_zeros(tops + 1)
+        # the first position from `at` on that is large enough lies at `end` at the latest: halve the range
+        left = np.flatnonzero(at < end)
         while len(left):
-            value[left] = self.get(at[left])
-            left = left[value[left] < x[left]]
-            at[left] += 1
-            value[left] = 0xFFFFFFFFFFFFFFFF
-            left = left[at[left] < self.n]
+            middle = (at[left] + end[left]) // 2
+            small = self.get(middle) < x[left]
+            at[left[small]] = middle[small] + 1
+            end[left[~small]] = middle[~small]
+            left = left[at[left] < end[left]]
+        value = np.full(len(x), 0xFFFFFFFFFFFFFFFF, np.uint64)
+        there = at < self.n
+        value[there] = self.get(at[there])
+        there = np.flatnonzero(value < x)  # beyond the universe
+        at[there], value[there] = self.n, 0xFFFFFFFFFFFFFFFF
         return at, value
