@@ -203,11 +203,16 @@ def _prints(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarr
 
 
 def _spans(heads: np.ndarray, rows: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    if len(rows):
-        out = np.zeros(len(rows), _SPAN)
-        out["doc"], out["tx"], out["start"] = heads["doc"][rows], heads["tx"][rows], heads["start"][rows]
-        out["end"] = out["start"] + heads["windows"][rows] + (LENGTH - 1)
-        out = _merged(out)
+    out = np.zeros(len(rows), _SPAN)
+    out["doc"], out["tx"], out["start"] = heads["doc"][rows], heads["tx"][rows], heads["start"][rows]
+    out["end"] = out["start"] + heads["windows"][rows] + (LENGTH - 1)
+    yield from _span_blobs(out, buckets)
+
+
+def _span_blobs(spans: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Merged spans, packed by a hash of the document."""
+    if len(spans):
+        out = _merged(spans)
         bucket = _bucket(mix(out["doc"].astype(np.uint64)), buckets)
         order = np.argsort(bucket, kind="stable")
         cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -336,7 +341,7 @@ def repeated_windows(heads: np.ndarray, body: np.ndarray) -> np.ndarray:
     return out
 
 
-def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _resolve(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
     for _, table in by_bucket(batches):
         ready = np.array(table.column("spans").to_pylist(), bool)
         spans = [joined_blob(table.filter(pa.array(ready)).column("heads"), _SPAN)]
@@ -355,12 +360,19 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out["doc"], out["tx"] = part["doc"][rows], part["tx"][rows]
             out["start"], out["end"] = anchor - (SPAN - 1) + a, anchor - (SPAN - 1) + b - 1 + LENGTH
             spans.append(out)
-        out = _merged(np.concatenate(spans))
-        if len(out):
-            packed = out["start"].astype(np.int64) << 32 | out["end"].astype(np.int64)
-            text, _ = _runs(mix(out["doc"].astype(np.uint64)) ^ out["tx"].astype(np.uint64))
-            ends = np.append(text, len(out)).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(out["doc"][text]), pa.array(out["tx"][text]), pa.ListArray.from_arrays(pa.array(ends), pa.array(packed))], names=["doc_id", "tx", "spans"])
+        yield from _span_blobs(np.concatenate(spans), buckets)
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row a text with all its spans, from the blobs of all buckets."""
+    for _, table in by_bucket(batches):
+        out = _merged(joined_blob(table.column("heads"), _SPAN))
+        packed = out["start"].astype(np.int64) << 32 | out["end"].astype(np.int64)
+        head = np.ones(len(out), bool)
+        head[1:] = (out["doc"][1:] != out["doc"][:-1]) | (out["tx"][1:] != out["tx"][:-1])
+        text = np.flatnonzero(head)
+        ends = np.append(text, len(out)).astype(np.int32)
+        yield pa.RecordBatch.from_arrays([pa.array(out["doc"][text]), pa.array(out["tx"][text]), pa.ListArray.from_arrays(pa.array(ends), pa.array(packed))], names=["doc_id", "tx", "spans"])
 
 
 def _groups(heads: np.ndarray, body: np.ndarray, most: int = 200_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -393,7 +405,7 @@ def _cut(batches: Iterator[pa.RecordBatch], with_text: bool) -> Iterator[pa.Reco
             raw = text.as_py()
             pieces, at, removed, n = [], 0, 0, 0
             end = -1
-            for x in sorted(x for y in lists or () for x in y):
+            for x in sorted(lists or ()):
                 a, b = x >> 32, x & 0xFFFFFFFF
                 if a > end:
                     n += 1
@@ -428,9 +440,9 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     folder = scratch(spark, "anchors")
     listed = bucketed(reps.mapInArrow(lambda b: _anchor_blobs(b, buckets), "bucket int, keys binary, docs binary"), buckets).mapInArrow(lambda b: _write_shared(b, folder, HOT), "bucket int, n long")
     have = frozenset(x["bucket"] for x in staged(listed, "anchors-list").collect())
-    spans = bucketed(reps.mapInArrow(lambda b: _stretches(b, folder, buckets, have), _ROW), buckets).mapInArrow(_resolve, "doc_id long, tx long, spans array<long>")
-    spans = spans.unionByName(copies.select("doc_id", "tx", F.array("n").alias("spans")))
-    spans = staged(spans.groupBy("doc_id", "tx").agg(F.collect_list("spans").alias("spans")), "spans")
+    spans = bucketed(reps.mapInArrow(lambda b: _stretches(b, folder, buckets, have), _ROW), buckets).mapInArrow(lambda b: _resolve(b, buckets), _ROW)
+    spans = bucketed(spans, buckets).mapInArrow(_gather, "doc_id long, tx long, spans array<long>")
+    spans = staged(spans.unionByName(copies.select("doc_id", "tx", F.array("n").alias("spans"))), "spans")
     joined = texts.join(spans, ["doc_id", "tx"], "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(lambda b: _cut(b, with_text), _RESULT + (", kept binary" if with_text else ""))
 
