@@ -93,17 +93,19 @@ class EliasFano:
         x = np.asarray(x, np.uint64)
         tops = np.minimum(x >> np.uint64(self.low_bits), np.uint64(self.universe >> self.low_bits)).astype(np.int64)
         at, end = self._after_zeros(tops), self._after_zeros(tops + 1)
-        # the first position from `at` on that is large enough lies at `end` at the latest: halve the range
+        # values from `at` to `end` have x's high bits: halve that range by the low bits
+        last, low = end.copy(), x & np.uint64((1 << self.low_bits) - 1)
         left = np.flatnonzero(at < end)
         while len(left):
             middle = (at[left] + end[left]) // 2
-            small = self.get(middle) < x[left]
+            small = self._low(middle) < low[left]
             at[left[small]] = middle[small] + 1
             end[left[~small]] = middle[~small]
             left = left[at[left] < end[left]]
         value = np.full(len(x), 0xFFFFFFFFFFFFFFFF, np.uint64)
-        there = at < self.n
-        value[there] = self.get(at[there])
-        there = np.flatnonzero(value < x)  # beyond the universe
-        at[there], value[there] = self.n, 0xFFFFFFFFFFFFFFFF
+        same, after = np.flatnonzero(at < last), np.flatnonzero((at == last) & (at < self.n))
+        value[same] = tops[same].astype(np.uint64) << np.uint64(self.low_bits) | self._low(at[same])
+        value[after] = self.get(at[after])
+        beyond = np.flatnonzero(value < x)  # x lies above the universe
+        at[beyond], value[beyond] = self.n, 0xFFFFFFFFFFFFFFFF
         return at, value
