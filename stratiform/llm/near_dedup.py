@@ -4,11 +4,9 @@
 2. One-permutation hashing: a set's hashes fall into 128 bins, each keeps its least; an empty bin takes the value of
    a bin picked by its own hash sequence (optimal densification). 32 bands of 4 bins are the buckets: a pair at
    similarity 0.75 shares no bucket with probability below 1e-5.
-3. Star-shaped candidates: each bucket links its members to its least doc_id only; a link is confirmed on the full
-   sets. The members that are then in another component than the centre form the bucket anew, split by each of the
-   next FAN bands, with new centres, until no bucket holds two components: many merely related texts fall apart
-   instead of being compared pair by pair. A pair that could join components is tried unless one of its two is
-   linked to the centre, and the other not, in every bucket they share.
+3. Star-shaped candidates: each bucket links its members to its least doc_id; a link is confirmed on the full sets.
+   While that halves the pairs left, the members outside the centre's component star the same bucket again. Then every
+   pair of those members that lies in two components is compared on the full sets, in cells of at most 2 * BLOCK members.
 4. Components by alternating large and small stars.
 
 Bucket counts and centres are map-side combined, joins on centres and buckets are equi-joins whose skewed
@@ -37,8 +35,12 @@ BINS, BAND_BINS = 128, 4
 BANDS = BINS // BAND_BINS
 SIMILARITY = (75, 100)
 MOST_BROADCAST = 1_000_000
-#: Bands by which a bucket that holds several components is split for the next round.
-FAN = 3
+#: Members of a bucket are compared pair by pair in cells of two blocks of about this many.
+BLOCK = 256
+#: With more pairs left than this the buckets are starred again, as long as that halves them.
+MANY_PAIRS = 2_000_000
+#: Shingles counted at once when a cell's sets are compared.
+_COLUMNS = 4096
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _EDGES = (np.arange(BINS, dtype=np.uint64) << np.uint64(57)).astype(np.uint64)
 
@@ -148,17 +150,60 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     return staged(old.unionByName(new.select(F.col("component").alias("node"), F.col("to").alias("component"))).groupBy("node").agg(F.min("component").alias("component")), "labels")
 
 
-def _stars(rows: DataFrame) -> DataFrame:
-    """Members of buckets that hold two components at least, with the centre: the least doc."""
-    chosen = rows.groupBy("bucket", "last").agg(F.min(F.struct("doc", "c")).alias("least"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
-    return rows.join(chosen.select("bucket", "last", F.col("least.doc").alias("centre"), F.col("least.c").alias("centre_c")), ["bucket", "last"])
+def _open(rows: DataFrame) -> DataFrame:
+    """Members of buckets that hold two components at least, with the bucket's size, its pairs across components and its least doc."""
+    parts = rows.groupBy("bucket", "last", "c").agg(F.count("*").alias("k"), F.min("doc").alias("least"))
+    whole = parts.groupBy("bucket", "last").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("own"), F.min("least").alias("centre"), F.count("*").alias("parts")).where("parts > 1")
+    return rows.join(whole.select("bucket", "last", "n", ((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"), "centre"), ["bucket", "last"])
 
 
-def _split(rows: DataFrame, reps: DataFrame) -> DataFrame:
-    """Buckets split by each of the next FAN bands: a pair that shares ten bands parts from all of them with probability 1e-5."""
-    banded = rows.join(reps.select(F.col("doc_id").alias("doc"), "bands"), "doc").withColumn("step", F.explode(F.sequence(F.lit(1), F.lit(FAN))))
-    band = (F.col("last") + F.col("step")) % BANDS
-    return banded.select(F.xxhash64("bucket", F.element_at("bands", band + 1)).alias("bucket"), band.alias("last"), "doc", "c")
+def _across(cell: pa.Table, similarity: tuple[int, int]) -> pa.Table:
+    """The links between members of a cell's two blocks in different components; a pair counts in the first bucket it shares."""
+    part, whole = similarity
+    doc, c, own = (cell.column(x).to_numpy() for x in ("doc", "c", "own"))
+    sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in cell.column("shingles").combine_chunks()]
+    sizes, last = np.array([len(s) for s in sets]), cell.column("last")[0].as_py()
+    bands = band_keys(signature(sets))[:, :last]
+    rows, cols = (np.flatnonzero(own == cell.column(x)[0].as_py()) for x in ("low", "high"))
+    least, most = np.minimum.outer(sizes[rows], sizes[cols]), np.maximum.outer(sizes[rows], sizes[cols])
+    tried = (c[rows][:, None] != c[cols][None, :]) & (least * whole >= most * part)
+    if own[rows[:1]].tolist() == own[cols[:1]].tolist():
+        tried &= np.triu(np.ones(tried.shape, bool), 1)
+    for k in range(last):
+        tried &= bands[rows, k][:, None] != bands[cols, k][None, :]
+    if tried.any():
+        common = _common(sets, sizes, rows, cols)
+        tried &= whole * common >= part * (np.add.outer(sizes[rows], sizes[cols]) - common)
+    x, y = np.nonzero(tried)
+    return pa.table({"a": pa.array(doc[rows[x]], pa.int64()), "b": pa.array(doc[cols[y]], pa.int64())})
+
+
+def _common(sets: list[np.ndarray], sizes: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+    """The number of common shingles of each set of rows with each of cols."""
+    _, at, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = often > 1
+    column = (np.cumsum(shared) - 1)[at]
+    keep = shared[at]
+    column, member = column[keep], np.repeat(np.arange(len(sets)), sizes)[keep]
+    order = np.argsort(column, kind="stable")
+    column, member = column[order], member[order]
+    out = np.zeros((len(rows), len(cols)), np.int64)
+    for start in range(0, int(shared.sum()), _COLUMNS):
+        a, b = np.searchsorted(column, [start, start + _COLUMNS])
+        has = np.zeros((len(sets), _COLUMNS), np.float32)
+        has[member[a:b], column[a:b] - start] = 1
+        out += (has[rows] @ has[cols].T).astype(np.int64)
+    return out
+
+
+def _all_pairs(rows: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """The links (a, b) across components among all members of each bucket."""
+    blocks = F.ceil(F.col("n") / BLOCK)
+    cells = rows.withColumn("own", F.pmod(F.xxhash64("doc"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    cells = cells.select("bucket", "last", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", F.col("doc").alias("doc_id"), "c")
+    cells = staged(cells, "cells")
+    full = sets.join(_small(cells, cells.count()), "doc_id").withColumnRenamed("doc_id", "doc")
+    return full.groupBy("bucket", "last", "low", "high").applyInArrow(lambda cell: _across(cell, similarity), "a long, b long")
 
 
 def _confirmed(edges: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -189,9 +234,8 @@ def near_duplicates(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -
     ids = members.select(F.col("doc").alias("doc_id")).distinct()
     few = ids.count() <= MOST_BROADCAST
     sets = staged(texts.join(F.broadcast(ids) if few else ids, "doc_id").mapInArrow(_full_sets, "doc_id long, shingles binary").dropDuplicates(["doc_id"]), "sets")
-    labels, rounds = None, 0
+    labels, before = None, None
     while True:
-        rounds += 1
         links = staged(_confirmed(members.where("doc != centre").select(F.col("centre").alias("a"), F.col("doc").alias("b")), sets, similarity), "links")
         if labels is None:
             labels = components(links)
@@ -203,10 +247,14 @@ def near_duplicates(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -
         for x in ("doc", "centre"):
             named = named.join(_small(labels.select(F.col("node").alias(x), F.col("component").alias(f"{x}_c")), n), x, "left").withColumn(f"{x}_c", F.coalesce(f"{x}_c", x))
         rest = named.where("doc_c != centre_c").select("bucket", "last", "doc", F.col("doc_c").alias("c"))
-        old, members = members, staged(_stars(_split(rest, reps)), "buckets")
+        old, members = members, staged(_open(rest), "buckets")
         discard(old)
-        if members.isEmpty():
+        pairs = members.where("doc = centre").agg(F.sum("pairs")).first()[0] or 0
+        if pairs <= MANY_PAIRS or (before is not None and 2 * pairs > before):
             break
+        before = pairs
+    if pairs:
+        labels = _merged(labels, staged(_all_pairs(members, sets, similarity), "links"))
     nodes = labels.select(F.col("node").alias("rep"), "component")
     resolved = classes.join(nodes, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     out = profile.join(resolved, "set_key", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

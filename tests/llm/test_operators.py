@@ -340,3 +340,56 @@ def test_sum_of_squares_chooses_least():
         now = Counter({h: len(w) for h, w in packer.open.items() if w})
         assert sum(c * c for c in now.values()) == min(options.values()), before
         levels = now
+
+
+def near_components(spark, texts):
+    """Components by brute force, and those of the operator."""
+    sets = [{tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in texts]
+    want = list(range(len(texts)))
+    for b in range(len(texts)):
+        for a in range(b):
+            if want[a] != want[b] and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                low, high = sorted((want[a], want[b]))
+                want = [low if x == high else x for x in want]
+    table = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in near_dedup.near_duplicates(table).collect()}
+    return want, [got[i] for i in range(len(texts))]
+
+
+def edited(rng, text, runs, width=3):
+    """The text with runs of new words at random places."""
+    out = list(text)
+    for _ in range(runs):
+        k = rng.randrange(len(out) - width)
+        out[k : k + width] = [f"n{rng.random()}" for _ in range(width)]
+    return out
+
+
+def bands_of(text):
+    return near_dedup.band_keys(near_dedup.signature(near_dedup._sets(pa.array([" ".join(text)]))))[0]
+
+
+def rarely_together(rng):
+    """A pair just above the limit that shares few buckets, and the places of the words that make those."""
+    while True:
+        x = [f"w{rng.random()}" for _ in range(1500)]
+        y = edited(rng, x, 33)
+        a, b = ({tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in (x, y))
+        shared = np.flatnonzero(bands_of(x) == bands_of(y))
+        gaps = np.diff(np.append(shared, shared[:1] + near_dedup.BANDS))
+        if 100 * len(a & b) >= 75 * len(a | b) and 0 < len(shared) <= 5 and gaps.min() > 3:
+            whole = near_dedup.signature(near_dedup._sets(pa.array([" ".join(x)])))[0].reshape(-1, near_dedup.BAND_BINS)
+            hashes = near_dedup.shingles(*near_dedup.word_hashes(pa.array([" ".join(x)])))[0]
+            return x, y, shared, [int(np.flatnonzero(hashes == h)[0]) for h in whole[shared].ravel()]
+
+
+def test_near_duplicates_behind_an_unrelated_centre(spark):
+    """The least doc of every bucket that a pair shares is similar to neither."""
+    rng = random.Random(3)
+    x, y, shared, places = rarely_together(rng)
+    while True:
+        centre = [w for p in places for w in [f"s{rng.random()}", *x[p : p + 5]]]
+        if (bands_of(centre)[shared] == bands_of(x)[shared]).all():
+            break
+    want, got = near_components(spark, [centre, x, y])
+    assert want == [0, 1, 1] and got == want
