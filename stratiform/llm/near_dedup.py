@@ -5,8 +5,9 @@
    a bin picked by its own hash sequence (optimal densification). 32 bands of 4 bins are the buckets: a pair at
    similarity 0.75 shares no bucket with probability below 1e-5.
 3. Star-shaped candidates: each bucket links its members to its least doc_id; a link is confirmed on the full sets.
-   While that halves the pairs left, the members outside the centre's component star the same bucket again. Then every
-   pair of those members that lies in two components is compared on the full sets, in cells of at most 2 * BLOCK members.
+   While that halves the pairs left, all members but the centre star the same bucket again. Then every pair of the
+   members left that lies in two components is compared on the full sets, in cells of about 2 * BLOCK members.
+   So every pair that shares a bucket is compared or already in one component.
 4. Components by alternating large and small stars.
 
 Bucket counts and centres are map-side combined, joins on centres and buckets are equi-joins whose skewed
@@ -241,12 +242,10 @@ def near_duplicates(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -
             labels = components(links)
         elif not links.isEmpty():
             labels = _merged(labels, links)
-        # A bucket goes on with the members that are in another component than its centre.
-        n = labels.count()
-        named = members.select("bucket", "last", "doc", "centre")
-        for x in ("doc", "centre"):
-            named = named.join(_small(labels.select(F.col("node").alias(x), F.col("component").alias(f"{x}_c")), n), x, "left").withColumn(f"{x}_c", F.coalesce(f"{x}_c", x))
-        rest = named.where("doc_c != centre_c").select("bucket", "last", "doc", F.col("doc_c").alias("c"))
+        # A bucket goes on with all members but the centre, which has been compared with every member outside its component.
+        named = members.where("doc != centre").select("bucket", "last", "doc")
+        named = named.join(_small(labels.select(F.col("node").alias("doc"), F.col("component").alias("c")), labels.count()), "doc", "left")
+        rest = named.select("bucket", "last", "doc", F.coalesce("c", "doc").alias("c"))
         old, members = members, staged(_open(rest), "buckets")
         discard(old)
         pairs = members.where("doc = centre").agg(F.sum("pairs")).first()[0] or 0

@@ -393,3 +393,30 @@ def test_near_duplicates_behind_an_unrelated_centre(spark):
             break
     want, got = near_components(spark, [centre, x, y])
     assert want == [0, 1, 1] and got == want
+
+
+def test_near_duplicates_behind_a_linked_centre(spark):
+    """The least doc of every bucket that a pair shares is similar to one of the two only."""
+    rng = random.Random(4)
+    x, y, shared, _ = rarely_together(rng)
+    while True:
+        centre = edited(rng, x, 12)
+        if (bands_of(centre)[shared] == bands_of(x)[shared]).all():
+            break
+    want, got = near_components(spark, [centre, x, y])
+    assert want == [0, 0, 0] and got == want
+
+
+@pytest.mark.parametrize("runs", [5, 4])
+def test_near_duplicates_of_related_texts(spark, runs):
+    """Pairs just above the limit in crowds of related texts below it."""
+    rng = random.Random(11)
+    texts, pairs = [], []
+    for g in range(4):
+        base = [f"w{g}_{i}" for i in range(300)]
+        texts += [edited(rng, base, runs) for _ in range(50)]
+        for _ in range(20):
+            x = edited(rng, base, runs)
+            pairs += [x, edited(rng, x, 6)]
+    want, got = near_components(spark, texts + pairs)
+    assert got == want
