@@ -5,9 +5,10 @@
    a bin picked by its own hash sequence (optimal densification). 32 bands of 4 bins are the buckets: a pair at
    similarity 0.75 shares no bucket with probability below 1e-5.
 3. Star-shaped candidates: each bucket links its members to its least doc_id; a link is confirmed on the full sets.
-   While that halves the pairs left, all members but the centre star the same bucket again. Then every pair of the
-   members left that lies in two components is compared on the full sets, in cells of about 2 * BLOCK members.
-   So every pair that shares a bucket is compared or already in one component.
+   While that halves the pairs left, all members but the centre star the same bucket again. Then the members outside
+   a bucket's largest component (the outliers) are compared with all its members on the full sets, in cells of about
+   2 * BLOCK sets: outliers times members, not members squared. So every pair that shares a bucket is compared or
+   already in one component.
 4. Components by alternating large and small stars.
 
 Bucket counts and centres are map-side combined, joins on centres and buckets are equi-joins whose skewed
@@ -152,24 +153,24 @@ def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _open(rows: DataFrame) -> DataFrame:
-    """Members of buckets that hold two components at least, with the bucket's size, its pairs across components and its least doc."""
+    """Members of buckets that hold two components at least, with the bucket's size, its largest component, its pairs across components and its least doc."""
     parts = rows.groupBy("bucket", "last", "c").agg(F.count("*").alias("k"), F.min("doc").alias("least"))
-    whole = parts.groupBy("bucket", "last").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("own"), F.min("least").alias("centre"), F.count("*").alias("parts")).where("parts > 1")
-    return rows.join(whole.select("bucket", "last", "n", ((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"), "centre"), ["bucket", "last"])
+    largest = F.max(F.struct(F.col("k").alias("most"), F.col("c").alias("main"))).alias("top")
+    whole = parts.groupBy("bucket", "last").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("own"), F.min("least").alias("centre"), F.count("*").alias("parts"), largest).where("parts > 1")
+    return rows.join(whole.select("bucket", "last", "n", "top.most", "top.main", ((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"), "centre"), ["bucket", "last"])
 
 
 def _across(cell: pa.Table, similarity: tuple[int, int]) -> pa.Table:
-    """The links between members of a cell's two blocks in different components; a pair counts in the first bucket it shares."""
+    """The links between a cell's outliers and its members in other components; a pair counts in the first bucket it shares, two outliers once."""
     part, whole = similarity
-    doc, c, own = (cell.column(x).to_numpy() for x in ("doc", "c", "own"))
+    doc, c, outlier, listed = (cell.column(x).to_numpy() for x in ("doc", "c", "outlier", "listed"))
     sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in cell.column("shingles").combine_chunks()]
     sizes, last = np.array([len(s) for s in sets]), cell.column("last")[0].as_py()
     bands = band_keys(signature(sets))[:, :last]
-    rows, cols = (np.flatnonzero(own == cell.column(x)[0].as_py()) for x in ("low", "high"))
+    rows, cols = np.flatnonzero(listed), np.flatnonzero(~listed)
     least, most = np.minimum.outer(sizes[rows], sizes[cols]), np.maximum.outer(sizes[rows], sizes[cols])
     tried = (c[rows][:, None] != c[cols][None, :]) & (least * whole >= most * part)
-    if own[rows[:1]].tolist() == own[cols[:1]].tolist():
-        tried &= np.triu(np.ones(tried.shape, bool), 1)
+    tried &= ~outlier[cols][None, :] | (doc[rows][:, None] < doc[cols][None, :])
     for k in range(last):
         tried &= bands[rows, k][:, None] != bands[cols, k][None, :]
     if tried.any():
@@ -198,11 +199,15 @@ def _common(sets: list[np.ndarray], sizes: np.ndarray, rows: np.ndarray, cols: n
 
 
 def _all_pairs(rows: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """The links (a, b) across components among all members of each bucket."""
-    blocks = F.ceil(F.col("n") / BLOCK)
-    cells = rows.withColumn("own", F.pmod(F.xxhash64("doc"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    cells = cells.select("bucket", "last", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", F.col("doc").alias("doc_id"), "c")
-    cells = staged(cells, "cells")
+    """The links (a, b) across components of each bucket: its outliers, in blocks, with all members, in blocks."""
+    outlier = F.col("c") != F.col("main")
+    few, many = F.ceil((F.col("n") - F.col("most")) / BLOCK), F.ceil(F.col("n") / BLOCK)
+    own = lambda blocks: F.pmod(F.xxhash64("doc"), blocks)
+    every = lambda blocks: F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    names = ["bucket", "last", "low", "high", "listed", outlier.alias("outlier"), F.col("doc").alias("doc_id"), "c"]
+    listed = rows.where(outlier).select("*", own(few).alias("low"), every(many).alias("high"), F.lit(True).alias("listed"))
+    members = rows.select("*", own(many).alias("high"), every(few).alias("low"), F.lit(False).alias("listed"))
+    cells = staged(listed.select(names).unionByName(members.select(names)), "cells")
     full = sets.join(_small(cells, cells.count()), "doc_id").withColumnRenamed("doc_id", "doc")
     return full.groupBy("bucket", "last", "low", "high").applyInArrow(lambda cell: _across(cell, similarity), "a long, b long")
 
