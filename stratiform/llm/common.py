@@ -6,6 +6,7 @@ Both choices are ASCII rules, so they can be applied to UTF-8 bytes without deco
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text handled at once inside a Python worker.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 #: Odd multipliers that combine the hashes of neighbouring words into one shingle hash.
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], dtype=np.uint64)
 SHINGLE_WORDS = 5
@@ -30,12 +31,19 @@ SHINGLE_WORDS = 5
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; set here only where it is unset."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
+
+    Where it is unset a local master gets a folder of its own; any other master raises, since executors would not see it.
+    """
     sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="stratiform-")
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(base or tempfile.mkdtemp(prefix="stratiform-"))
-    return base or sc.getCheckpointDir()
+        sc.setCheckpointDir(base)
+    return base
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -70,6 +78,9 @@ _shipped: set[str] = set()
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the Python workers, once for each application."""
     sc = spark.sparkContext
+    bytes_a_batch = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(bytes_a_batch) == "67108864b":  # where it was left at its default: a batch lies in the executor and in its worker
+        spark.conf.set(bytes_a_batch, f"{BATCH_BYTES}b")
     if sc.applicationId in _shipped:
         return
     root = Path(__file__).resolve().parents[1]
@@ -88,6 +99,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- Arrow -------------------------------------------------------------------
 
 
+def settle() -> None:
+    """Give freed memory back: a worker is kept for later tasks, of other stages too."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library
+        return
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that no piece of over one row holds more than ``limit`` bytes of ``column``."""
     for batch in batches:
@@ -101,9 +121,10 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             end = max(start + 1, int(np.searchsorted(total, base + limit, side="right")))
             yield batch.slice(start, end - start)
             start = end
+    settle()
 
 
-def gathered(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 4 * BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+def gathered(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 8 * BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``limit`` bytes of ``column``: joins small batches, cuts large ones."""
     held, size = [], 0
     for piece in slices(batches, column, limit):
@@ -206,7 +227,7 @@ def crc_bucket(column: str, modulus: int):
 
 def bucketed(df: DataFrame, buckets: int) -> DataFrame:
     """Rows of a bucket side by side, for ``by_bucket``."""
-    return df.repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    return df.repartitionById(buckets, F.col("bucket").cast("int")).sortWithinPartitions("bucket")
 
 
 def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
@@ -224,6 +245,8 @@ def by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table
                 held.append(batch.slice(a, b - a))
     if held:
         yield now, pa.Table.from_batches(held)
+        held = []
+    settle()
 
 
 def joined_blob(column: pa.ChunkedArray, kind) -> np.ndarray:

@@ -24,13 +24,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import documents, gathered, ship, text_column
+from stratiform.llm.common import documents, ship, slices, text_column
 from stratiform.llm.tokens import default_path, encoder, with_end
 
 LENGTH = 2048
 END_ID = 1
-#: Ids of unfinished windows that a task holds before it closes them all; bounds its memory.
-OPEN_IDS = 1 << 22
+#: Ids of unfinished windows that a task holds before it closes them all; bounds its memory, and pads one window more.
+OPEN_IDS = 1 << 21
 
 
 class SumOfSquares:
@@ -118,12 +118,15 @@ def _pack(batches: Iterator[pa.RecordBatch], path: str, length: int, end_id: int
         made += 1
 
     def flush() -> pa.RecordBatch:
-        columns = [pa.array(c, pa.int64()) for c in rows[:8]] + [pa.array(c, pa.list_(pa.int64())) for c in rows[8:]]
+        columns = [pa.array(c, pa.int64()) for c in rows[:8]]
+        if with_ids:
+            ends = np.concatenate([[0], np.cumsum([len(x) for x in rows[8]])])
+            columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*rows[8], np.empty(0, np.uint32)]), pa.int64())))
         for c in rows:
             c.clear()
         return pa.RecordBatch.from_arrays(columns, names=names)
 
-    for batch in gathered(batches):
+    for batch in slices(batches):
         ids, offsets = with_end(*encode(text_column(batch)), end_id)
         for doc, a, b in zip(batch.column("doc_id").to_pylist(), offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
             held[item] = (doc, ids[a:b].copy())

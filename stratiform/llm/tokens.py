@@ -19,8 +19,10 @@ import pyarrow.compute as pc
 from stratiform.llm.common import ragged, split_words
 
 DEFAULT_FILE = "word_bpe_49k.json"
-#: Entries of the table before it starts anew; bounds a worker's memory.
-TABLE_ENTRIES = 1_200_000
+#: Bytes of the table, about, before it starts anew; bounds a worker's memory.
+TABLE_BYTES = 40 << 20
+#: What an entry takes beside its chunk's bytes: dictionary slot, key and place objects, start and count.
+_ENTRY_BYTES = 150
 #: A chunk that is one run of Latin letters and at most one full stop or comma.
 _SIMPLE = "^(?P<word>[A-Za-zÀ-ÖØ-öø-ÿ]+)(?P<tail>[.,]?)$"
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
@@ -51,7 +53,7 @@ class ChunkEncoder:
         self.starts = np.zeros(1 << 16, np.int64)
         self.counts = np.zeros(1 << 16, np.int32)
         self.flat = np.zeros(1 << 18, np.uint32)
-        self.used = 0
+        self.used = self.held = 0
 
     @staticmethod
     def _byte_letters() -> dict[int, str]:
@@ -82,6 +84,7 @@ class ChunkEncoder:
         self.counts[n : n + m] = counts
         self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
         self.used += total
+        self.held += m * _ENTRY_BYTES + sum(map(len, chunks)) + 4 * total
         self.table.update(zip(chunks, range(n, n + m), strict=True))
 
     def _places(self, keys: pa.Array) -> np.ndarray:
@@ -99,7 +102,7 @@ class ChunkEncoder:
             return np.empty(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
         coded = flat.dictionary_encode()
         chunks = coded.dictionary
-        if len(self.table) + len(chunks) > TABLE_ENTRIES:
+        if self.held > TABLE_BYTES:
             self._clear()
         if self.fast:
             parts = pc.extract_regex(chunks, _SIMPLE)
