@@ -16,8 +16,8 @@ partitions adaptive execution can split; no group is gathered in one task. Sets
 a bucket. The ids of those are broadcast only while they are few (MOST_BROADCAST), else joined by shuffle.
 
 Defined results: null, empty and white-space texts have n_shingles 0 and stand alone; texts of one to four words have
-one shingle, the whole sequence; rows of equal doc_id are one node and get the same component; a null doc_id stands
-alone with component null and kept; an empty table gives no rows; extra columns are ignored.
+one shingle, the whole sequence; rows of equal doc_id are one node that holds the texts of all of them, so they get
+the same component; a null doc_id stands alone with component null and kept; an empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -232,19 +232,23 @@ def near_duplicates(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     profile = staged(texts.mapInArrow(_profile, "doc_id long, n_shingles long, set_key binary, bands array<long>"), "profile")
     classes = staged(profile.where("set_key is not null and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = staged(profile.join(classes, "set_key").where("doc_id = rep").select("doc_id", "n_shingles", "bands").dropDuplicates(["doc_id"]), "reps")
-    rows = reps.select(F.col("doc_id").alias("doc"), F.posexplode("bands").alias("last", "bucket"))
+    named = profile.where("doc_id is not null").select("set_key", "doc_id", "bands").join(classes, "set_key")
+    reps = staged(named.where("doc_id = rep").dropDuplicates(["set_key"]).select("doc_id", "bands"), "reps")
+    rows = reps.select(F.col("doc_id").alias("doc"), F.posexplode("bands").alias("last", "bucket")).distinct()
+    # Rows of one doc_id with several texts: their classes are linked.
+    several = named.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b")
+    same = staged(named.join(several.select("doc_id", "a"), "doc_id").select("a", F.col("rep").alias("b")).where("a != b").distinct(), "same")
     # The first stars need no components: the least doc of each bucket with two members.
     firsts = rows.groupBy("bucket", "last").agg(F.min("doc").alias("centre"), F.max("doc").alias("most")).where("most > centre").drop("most")
     members = staged(rows.join(firsts, ["bucket", "last"]), "buckets")
     ids = members.select(F.col("doc").alias("doc_id")).distinct()
     few = ids.count() <= MOST_BROADCAST
-    sets = staged(texts.join(F.broadcast(ids) if few else ids, "doc_id").mapInArrow(_full_sets, "doc_id long, shingles binary").dropDuplicates(["doc_id"]), "sets")
+    sets = staged(texts.join(F.broadcast(ids) if few else ids, "doc_id").mapInArrow(_full_sets, "doc_id long, shingles binary").where("octet_length(shingles) > 0").distinct(), "sets")
     labels, before = None, None
     while True:
         links = staged(_confirmed(members.where("doc != centre").select(F.col("centre").alias("a"), F.col("doc").alias("b")), sets, similarity), "links")
         if labels is None:
-            labels = components(links)
+            labels = components(links.unionByName(same))
         elif not links.isEmpty():
             labels = _merged(labels, links)
         # A bucket goes on with all members but the centre, which has been compared with every member outside its component.

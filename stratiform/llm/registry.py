@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stratiform.llm.decontamination import op4_simhash_decontamination
 from stratiform.llm.language_model import op3_elias_fano_lm
 from stratiform.llm.near_dedup import op8_minhash_near_duplicates
+from stratiform.llm.oracles import OP4, OP7, OP8
 from stratiform.llm.packing import op10_sum_of_squares_packing
 from stratiform.llm.quality_classifier import op5_attention_mil_quality
 from stratiform.llm.quality_rules import op6_kneser_ney_rules
@@ -36,4 +37,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {op4_simhash_decontamination.__name__: OP4, op7_suffix_array_repeats.__name__: OP7, op8_minhash_near_duplicates.__name__: OP8}
