@@ -420,3 +420,52 @@ def test_near_duplicates_of_related_texts(spark, runs):
             pairs += [x, edited(rng, x, 6)]
     want, got = near_components(spark, texts + pairs)
     assert got == want
+
+
+def test_shards_split_equal_rows(spark):
+    same = [(7, "one text that many rows share", "en", "hot")] * 1500
+    d = spark.createDataFrame([*same, *((k, f"t{k}", "fr", f"s{k % 30}") for k in range(500))], "doc_id long, text string, lang string, source string")
+    got = sharding.kd_shards(d, 8)
+    size = [r["b"] for r in got.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    assert len(size) == 8 and max(size) - min(size) < 0.05 * sum(size) / 8
+    assert "ExistingRDD" not in got._jdf.queryExecution().toString() and "Python" not in got._jdf.queryExecution().toString()
+
+
+def brute_shards(rows, shards):
+    """The K-d tree over exact keys, on the driver."""
+    ranks = [{v: k + 1 for k, v in enumerate(sorted({r[c] or "" for r in rows}))} for c in (2, 3)]
+    points = [(ranks[0][r[2] or ""], ranks[1][r[3] or ""], math.log2(len((r[1] or "").encode()) + 16), float(r[0] or 0)) for r in rows]
+    wide = [max(p[d] for p in points) - min(p[d] for p in points) or 1 for d in range(4)]
+    out = {}
+
+    def split(own, first, n):
+        if n == 1:
+            out.update(dict.fromkeys(own, first))
+            return
+        d = max(range(4), key=lambda d: ((max(points[k][d] for k in own) - min(points[k][d] for k in own)) / wide[d], -d))
+        own = sorted(own, key=lambda k: points[k][d])
+        sizes = np.cumsum([len((rows[k][1] or "").encode()) + 16 for k in own])
+        cut = int(np.argmin(np.abs(sizes - sizes[-1] * (n // 2) / n))) + 1
+        split(own[:cut], first, n // 2)
+        split(own[cut:], first + n // 2, n - n // 2)
+
+    split(list(range(len(rows))), 0, shards)
+    return out
+
+
+def test_shards_follow_the_tree(spark):
+    rng = random.Random(8)
+    # languages are the widest, then sources; sizes and ids are distinct, so no cut lies among equal values
+    rows = [(1000 + k, "x" * (k * 7 % 401), "en", "s") for k in range(200)]
+    rng.shuffle(rows)
+    got = {r["doc_id"]: r["shard"] for r in sharding.kd_shards(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"), 4).collect()}
+    want = brute_shards(rows, 4)
+    assert sum(got[r[0]] == want[k] for k, r in enumerate(rows)) >= 196  # a key keeps 16 bits of a value
+
+
+def test_near_duplicates_with_two_texts_for_an_id(spark):
+    rng = random.Random(4)
+    a, b = ([f"w{rng.random()}" for _ in range(60)] for _ in range(2))
+    rows = [(5, " ".join(a)), (5, " ".join(b)), (1, " ".join([*a, "tail"])), (9, " ".join([*b, "tail"])), (3, " ".join(f"w{rng.random()}" for _ in range(60)))]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(1, 1), (3, 3), (5, 1), (5, 1), (9, 1)]
