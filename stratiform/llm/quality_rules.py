@@ -1,213 +1,172 @@
 """Operator 6: quality rules and an n-gram perplexity filter with language-specific bands.
 
-The model is a modified Kneser-Ney model of characters (order 4) for each language. Characters fold into 45 classes
-(letters without case or accent marks where Latin, digits, white space, common marks, the rest), so a language's
-n-grams number at most 45**4 whatever the corpus holds; Spark counts those of every text (each task adds up its own
-first). Modified Kneser-Ney discounts come from the counts of counts. The model is kept in sorted hash arrays, one
-for each order: 64-bit hashes of (language, n-gram) with the log10 probability or back-off weight beside them,
-looked up by binary search; a batch looks each of its distinct n-grams up once.
-
-A document's perplexity is 10 ** (-log10 probability / characters). The bands of a language come from the histogram of
-all its documents' log10 perplexities (bins of 0.005): quartiles q1 and q3 widened by BAND_WIDTH times their distance,
-at least LEAST_WIDTH on either side. A document outside its language's band is rejected; so is one whose base rules
-fail. Languages with less than LEAST_DOCS documents, and texts of less than LEAST_CHARS classes, have no band.
-
-Defined results: null and empty texts have no words and fail the base rule; a null language is a language of its
-own; repeated rows count as often as they occur; a null doc_id stays null; an empty table gives no rows; extra columns
-are ignored.
+The model is a modified Kneser-Ney model of bytes (order 5) for each language: no folding, so any script and any mark
+counts as itself, and an n-gram is a number of 40 bits whose contexts and suffixes are shifts and masks of it. Spark
+counts the n-grams of every text (each task adds up its own first), and each order is a table: continuation counts by
+suffix, discounts from the counts of counts, totals and back-off weights by context, interpolation by a join on the
+suffix. The model lives in sorted hash arrays, one for each order: 64-bit hashes of (language, n-gram) with the log10
+probability or back-off weight beside them, searched by halving. A model of at most MOST_BROADCAST entries travels to the
+workers as such arrays; a larger one stays a table and the texts' distinct n-grams are joined to it.
+
+A document has two perplexities, 10 ** (-log10 probability / words) and the same by bytes. Each language has a lower and
+an upper band for both, from the histograms of all its documents: the quartiles, widened by BAND times their distance.
+Single documents stray more the shorter they are, so that width grows with sqrt(1 + PRIOR_WORDS / words). A language's
+quartiles are averaged with those of all documents, which weigh as much as PRIOR_DOCS documents, so small languages lean
+on the pool by degrees. A document outside a band is rejected; so is one whose base rules fail.
+
+Defined results: null and empty texts have no words, no perplexity, and fail the base rule; a null language is a language
+of its own; a text's start counts as zero bytes; repeated rows count as often as they occur; a null doc_id stays null; an
+empty table gives no rows; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stratiform.llm.common import documents, hash_values, mix, ship, slices, split_words, staged, text_column
 
-ORDER = 4
+ORDER = 5
 #: The rules' limits.
 LEAST_WORDS, MOST_REPEATED, WINDOW = 10, (20, 100), 5
 SYMBOLS = "[#*$%&|<>]"
-BIN = 0.005
-BAND_WIDTH, LEAST_WIDTH = 3.0, 0.08
-LEAST_DOCS, LEAST_CHARS = 20, 200
-_MARKS = " .,;:!?'\"-()[]/"
-CLASSES = 26 + 1 + len(_MARKS) + 2 + 1  # letters, digits, marks, other letters, other signs, start
-
-
-@lru_cache(maxsize=1)
-def _classes() -> np.ndarray:
-    """The class of each code point up to U+FFFF; class 0 stands for what comes before a text."""
-    table = np.full(0x10000, CLASSES - 1, np.uint8)
-    for c in range(0x250):
-        base = unicodedata.normalize("NFD", chr(c))[0].lower()
-        if "a" <= base <= "z":
-            table[c] = 1 + ord(base) - 97
-        elif chr(c).isdigit():
-            table[c] = 27
-        elif chr(c).isalpha():
-            table[c] = CLASSES - 2
-    table[0x250:0x2000] = CLASSES - 2
-    table[0x2E80:0xD800] = CLASSES - 2
-    for k, m in enumerate(_MARKS):
-        table[ord(m)] = 28 + k
-    table[9:14] = table[32]
-    return table
-
-
-def classes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The classes of all characters with ORDER - 1 start signs before each text, and the n+1 offsets."""
-    points = np.frombuffer("".join(texts.to_pylist()).encode("utf-32-le", "surrogatepass"), np.uint32)
-    counts = pc.utf8_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
-    folded = _classes()[np.minimum(points, 0xFFFF)]
-    pad = ORDER - 1
-    offsets = np.concatenate([[0], np.cumsum(counts + pad)])
-    out = np.zeros(int(offsets[-1]), np.uint8)
-    mask = np.ones(len(out), bool)
-    for k in range(pad):
-        mask[offsets[:-1] + k] = False
-    out[mask] = folded
+BIN = 0.002
+BAND, PRIOR_WORDS, PRIOR_DOCS = 1.75, 50, 20
+#: Entries of a model that is broadcast: about 12 bytes each.
+MOST_BROADCAST = 4_000_000
+#: Distinct n-grams that a task holds before it passes them on.
+FLUSH = 1_000_000
+_MASK = [(1 << 8 * k) - 1 for k in range(ORDER + 1)]
+_LANG = "coalesce(concat(':', lang), '') AS l"  # null is '', any other value begins with a colon
+
+
+def grams_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The n-gram of ORDER bytes that ends at each byte, and the n+1 offsets of each text's."""
+    raw = texts.cast(pa.large_binary())
+    ends = np.frombuffer(raw.buffers()[1], np.int64)[raw.offset : raw.offset + len(raw) + 1]
+    data = np.frombuffer(raw.buffers()[2], np.uint8)[ends[0] : ends[-1]] if raw.buffers()[2] else np.empty(0, np.uint8)
+    offsets = ends - ends[0]
+    place = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))
+    out = data.astype(np.int64)
+    for k in range(1, ORDER):
+        out[k:] |= np.where(place[k:] >= k, data[:-k], 0).astype(np.int64) << 8 * k if len(data) > k else 0
     return out, offsets
 
 
-def _codes(classes: np.ndarray, order: int) -> np.ndarray:
-    """Each position's n-gram of the given order that ends there, as a number in base CLASSES; positions from ORDER - 1 on."""
-    pad = ORDER - 1
-    code = np.zeros(max(0, len(classes) - pad), np.int32)
-    for k in range(order):
-        at = pad - order + 1 + k
-        code = code * CLASSES + classes[at : at + len(code)]
-    return code
+def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray]]:
+    coded = batch.column("l").dictionary_encode()
+    of = coded.indices.to_numpy()
+    for k, lang in enumerate(coded.dictionary.to_pylist()):
+        yield lang, np.flatnonzero(of == k)
 
 
-def _real(offsets: np.ndarray) -> np.ndarray:
-    """Which positions from ORDER - 1 on are characters of a text, not start signs."""
-    keep = np.ones(int(offsets[-1]), bool)
-    for k in range(ORDER - 1):
-        keep[offsets[:-1] + k] = False
-    return keep[ORDER - 1 :]
+def _rows(lang: str, codes: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for a in range(0, len(codes), 100_000):
+        own = codes[a : a + 100_000]
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own), pa.string()), pa.array(own), pa.array(n[a : a + 100_000])], names=["l", "code", "n"])
+
+
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    codes, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    return codes, np.bincount(at, weights=np.concatenate([p[1] for p in parts]), minlength=len(codes)).astype(np.int64)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total: dict[str | None, np.ndarray] = {}
+    held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
     for batch in slices(batches):
-        texts, langs = text_column(batch), batch.column("lang").to_pylist()
-        for lang in set(langs):
-            chosen = pc.filter(texts, pa.array([x == lang for x in langs]))
-            classes, offsets = classes_of(chosen)
-            if len(classes) >= ORDER:
-                own = np.bincount(_codes(classes, ORDER)[_real(offsets)])
-                held = total.get(lang, np.zeros(0, np.int64))
-                if len(held) < len(own):
-                    held, own = own.astype(np.int64), held
-                held[: len(own)] += own
-                total[lang] = held
-    for lang, held in total.items():
-        kept = np.flatnonzero(held)
-        for a in range(0, len(kept), 200_000):
-            at = kept[a : a + 200_000]
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(held[at], pa.int64())], names=["lang", "code", "n"])
+        texts = text_column(batch)
+        for lang, own in _by_language(batch):
+            codes, n = np.unique(grams_of(texts.take(pa.array(own)))[0], return_counts=True)
+            parts = held.setdefault(lang, [])
+            parts.append((codes, n))
+            while len(parts) > 1 and len(parts[-2][0]) < 2 * len(parts[-1][0]):  # merged sizes at least halve along the list
+                parts.append(_merged([parts.pop(), parts.pop()]))
+        if sum(len(p[0]) for parts in held.values() for p in parts) > FLUSH:
+            for lang, parts in held.items():
+                yield from _rows(lang, *_merged(parts))
+            held = {}
+    for lang, parts in held.items():
+        yield from _rows(lang, *_merged(parts))
+
+
+def _discounted(level: DataFrame) -> DataFrame:
+    """Each n-gram with its modified Kneser-Ney discount, from its language's counts of counts."""
+    t = [F.sum((F.col("n") == k).cast("double")).alias(f"t{k}") for k in (1, 2, 3, 4)]
+    some = F.least("t1", "t2", "t3", "t4") > 0
+    y = F.try_divide(F.col("t1"), F.col("t1") + 2 * F.col("t2"))
+    cut = [F.when(some, F.least(F.greatest(k - (k + 1) * y * F.try_divide(F.col(f"t{k + 1}"), F.col(f"t{k}")), F.lit(0.05)), F.lit(k - 0.05))).otherwise(flat).alias(f"d{k}") for k, flat in ((1, 0.5), (2, 0.75), (3, 0.9))]
+    by_language = level.groupBy("l").agg(*t).select("l", *cut)
+    return level.join(by_language, "l").withColumn("d", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")))
+
+
+def fit_model(docs: DataFrame) -> DataFrame:
+    """The model as rows (l, slot, code, value): log10 probabilities of orders 1 to ORDER, then log10 back-off weights of contexts of 0 to ORDER - 1 bytes."""
+    ship(docs.sparkSession)
+    columns = docs.select(F.col("text").cast("string").alias("text"), F.expr(_LANG))
+    levels = {ORDER: staged(columns.mapInArrow(_count, "l string, code long, n long").groupBy("l", "code").agg(F.sum("n").alias("n")), "grams")}
+    for order in range(ORDER - 1, 0, -1):  # continuation counts: the distinct bytes before an n-gram
+        levels[order] = staged(levels[order + 1].groupBy("l", F.col("code").bitwiseAND(_MASK[order]).alias("code")).agg(F.count("*").alias("n")), "grams")
+    below, model = None, None
+    for order in range(1, ORDER + 1):
+        context = Window.partitionBy("l", "context")
+        rows = _discounted(levels[order]).withColumn("context", F.shiftright("code", 8))
+        rows = rows.withColumn("total", F.sum("n").over(context)).withColumn("weight", F.sum("d").over(context) / F.col("total")).withColumn("first", F.min("code").over(context) == F.col("code"))
+        rows = rows.withColumn("suffix", F.col("code").bitwiseAND(_MASK[order - 1]))
+        lower = F.lit(1 / 256)
+        if below is not None:
+            rows, lower = rows.join(below.select("l", F.col("code").alias("suffix"), F.col("p").alias("lower")), ["l", "suffix"]), F.col("lower")
+        below = staged(rows.select("l", "code", "context", "weight", "first", ((F.col("n") - F.col("d")) / F.col("total") + F.col("weight") * lower).alias("p")), "level")
+        probabilities = below.select("l", F.lit(order - 1).alias("slot"), "code", F.log10("p").cast("float").alias("value"))
+        weights = below.where("first").select("l", F.lit(ORDER + order - 1).alias("slot"), F.col("context").alias("code"), F.log10("weight").cast("float").alias("value"))
+        both = probabilities.unionByName(weights)
+        model = both if model is None else model.unionByName(both)
+    return model
 
 
 class Model:
-    """Sorted hash arrays of each order: hashes, log10 probabilities, and the log10 back-off weights of contexts."""
-
-    def __init__(self, counts: dict[str | None, tuple[np.ndarray, np.ndarray]]):
-        parts: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(2 * ORDER)]
-        self.langs = {lang: np.uint64(hash_values(pa.array([f"lang:{lang}"]))[0]) for lang in counts}
-        for lang, (codes, n) in counts.items():
-            for k, arrays in enumerate(_kneser_ney(codes, n)):
-                parts[k].append((self.hashes(lang, arrays[0], k % ORDER + 1 if k < ORDER else k - ORDER), arrays[1]))
+    """Sorted hash arrays of each slot: hashes and log10 values."""
+
+    def __init__(self, rows: pa.Table):
+        slot, code, value = (rows.column(c).to_numpy() for c in ("slot", "code", "value"))
+        langs = rows.column("l").combine_chunks().dictionary_encode()
+        known = langs.dictionary.to_pylist()
+        self.langs = dict(zip(known, hash_values(pa.array(known, pa.string())) if known else [], strict=True))
+        of = np.array(list(self.langs.values()), np.uint64)[langs.indices.to_numpy()] if len(langs) else np.empty(0, np.uint64)
         self.arrays = []
-        for part in parts:
-            keys = np.concatenate([p[0] for p in part] or [np.empty(0, np.uint64)])
-            values = np.concatenate([p[1] for p in part] or [np.empty(0)])
+        for k in range(2 * ORDER):
+            own = np.flatnonzero(slot == k)
+            keys = mix(code[own].astype(np.uint64) ^ of[own])
             order = np.argsort(keys)
-            self.arrays.append((keys[order], values[order].astype(np.float32)))
-
-    def hashes(self, lang: str | None, codes: np.ndarray, order: int) -> np.ndarray:
-        return mix(codes.astype(np.uint64) + np.uint64(order << 40) + self.langs[lang])
-
-    def find(self, k: int, keys: np.ndarray, default: float) -> tuple[np.ndarray, np.ndarray]:
-        """The values of the keys, and which were there."""
-        have, values = self.arrays[k]
-        if not len(have):
-            return np.full(len(keys), default, np.float32), np.zeros(len(keys), bool)
+            self.arrays.append((keys[order], value[own][order].astype(np.float32)))
+
+    def find(self, slot: int, lang: str, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The values of the codes (0 where there is none), and which were there."""
+        have, values = self.arrays[slot]
+        if not len(have) or lang not in self.langs:
+            return np.zeros(len(codes), np.float32), np.zeros(len(codes), bool)
+        keys = mix(codes.astype(np.uint64) ^ self.langs[lang])
         at = np.minimum(np.searchsorted(have, keys), len(have) - 1)
         hit = have[at] == keys
-        return np.where(hit, values[at], np.float32(default)), hit
+        return np.where(hit, values[at], np.float32(0)), hit
 
-    def log10(self, lang: str | None, codes: np.ndarray) -> np.ndarray:
-        """log10 probability of each n-gram's last character after the others."""
-        out = np.full(len(codes), -np.log10(CLASSES), np.float64)
-        done = np.zeros(len(codes), bool)
-        backoff = np.zeros(len(codes))
+    def log10(self, lang: str, codes: np.ndarray) -> np.ndarray:
+        """log10 probability of each n-gram's last byte after the others."""
+        out, left, backoff = np.zeros(len(codes)), np.arange(len(codes)), np.zeros(len(codes))
         for order in range(ORDER, 0, -1):
-            suffix = codes % CLASSES**order
-            value, hit = self.find(order - 1, self.hashes(lang, suffix, order), 0.0)
-            new = hit & ~done
-            out[new] = value[new] + backoff[new]
-            done |= hit
-            weight, _ = self.find(ORDER + order - 1, self.hashes(lang, suffix // CLASSES, order - 1), 0.0)
-            backoff[~done] += weight[~done]
-        out[~done] += backoff[~done]
+            suffix = codes[left] & _MASK[order]
+            value, hit = self.find(order - 1, lang, suffix)
+            out[left[hit]] = value[hit] + backoff[left[hit]]
+            left, suffix = left[~hit], suffix[~hit]
+            backoff[left] += self.find(ORDER + order - 1, lang, suffix >> 8)[0]
+        out[left] = backoff[left] - np.log10(256)
         return out
 
 
-def discounts(n: np.ndarray) -> tuple[float, float, float]:
-    """Modified Kneser-Ney discounts for counts of 1, 2 and more, from the counts of counts."""
-    t = [float((n == k).sum()) for k in (1, 2, 3, 4)]
-    if min(t) == 0:
-        return 0.5, 0.75, 0.9
-    y = t[0] / (t[0] + 2 * t[1])
-    return tuple(min(max(k - (k + 1) * y * t[k] / t[k - 1], 0.05), k - 0.05) for k in (1, 2, 3))
-
-
-def _kneser_ney(codes: np.ndarray, n: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Interpolated probabilities (log10) of orders 1 to ORDER, then back-off weights (log10) of contexts of 0 to ORDER - 1."""
-    levels = [(codes, n)]
-    for order in range(ORDER - 1, 0, -1):  # continuation counts: the distinct characters before an n-gram
-        levels.append(np.unique(levels[-1][0] % CLASSES**order, return_counts=True))
-    levels.reverse()
-    probs, weights = [], []
-    below_codes, below = np.empty(0, np.int64), np.empty(0)
-    for order, (grams, c) in enumerate(levels, start=1):
-        d = np.array([0.0, *discounts(c)])
-        contexts, at = np.unique(grams // CLASSES, return_inverse=True)
-        total = np.bincount(at, weights=c)
-        cut = d[np.minimum(c, 3)]
-        gamma = np.bincount(at, weights=np.minimum(cut, c)) / total
-        lower = np.full(len(grams), 1.0 / CLASSES) if order == 1 else below[np.searchsorted(below_codes, grams % CLASSES ** (order - 1))]
-        p = np.maximum(c - cut, 0) / total[at] + gamma[at] * lower
-        probs.append((grams, np.log10(p)))
-        weights.append((contexts, np.log10(gamma)))
-        below_codes, below = grams, p
-    return probs + weights
-
-
-def fit_model(docs: DataFrame) -> Model:
-    """Count the n-grams of all texts and fit; at most CLASSES ** ORDER n-grams of a language reach the driver."""
-    ship(docs.sparkSession)
-    columns = docs.select(F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    counted = columns.mapInArrow(_count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n")).toArrow()
-    langs = counted.column("lang").to_pylist()
-    codes, n = counted.column("code").to_numpy(), counted.column("n").to_numpy()
-    coded = np.array([hash(x) for x in langs]) if langs else np.empty(0, np.int64)
-    out = {}
-    for lang in dict.fromkeys(langs):
-        own = coded == hash(lang)
-        order = np.argsort(codes[own])
-        out[lang] = (codes[own][order], n[own][order])
-    return Model(out)
-
-
 # --- base rules --------------------------------------------------------------
 
 
@@ -259,74 +218,101 @@ def _repeat_words(ids: np.ndarray, offsets: np.ndarray, n_ids: int) -> np.ndarra
 
 # --- scores and verdicts -----------------------------------------------------
 
-_SCHEMA = "doc_id long, lang string, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, log10_ppl double"
+_FIGURES = "doc_id long, l string, key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_bytes long"
 
 
-def _score(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.RecordBatch]:
+def _figures(batches: Iterator[pa.RecordBatch], model: Model | None) -> Iterator[pa.RecordBatch]:
+    """The base rules' figures, and with a model the log10 probability of each text."""
     for batch in slices(batches):
-        texts, langs = text_column(batch), batch.column("lang").to_pylist()
+        texts = text_column(batch)
         rules = base_rules(texts)
-        ppl = np.full(len(texts), np.nan)
-        for lang in set(langs):
-            chosen = np.array([x == lang for x in langs])
-            classes, offsets = classes_of(pc.filter(texts, pa.array(chosen)))
-            counts = np.diff(offsets) - (ORDER - 1)
-            if lang not in model.langs or len(classes) < ORDER:
-                continue
-            codes, real = _codes(classes, ORDER), _real(offsets)
-            codes = codes[real]
-            distinct, at = _distinct(codes)
-            values = np.concatenate([[0.0], np.cumsum(model.log10(lang, distinct)[at])])
-            ends = np.concatenate([[0], np.cumsum(counts)])
-            own = np.full(len(counts), np.nan)
-            long = counts >= LEAST_CHARS
-            own[long] = -(values[ends[1:]] - values[ends[:-1]])[long] / counts[long]
-            ppl[chosen] = own
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("lang"), *(pa.array(v, pa.int64()) for v in rules.values()), pa.array(ppl, pa.float64(), mask=np.isnan(ppl))], names=["doc_id", "lang", *rules, "log10_ppl"])
-
-
-def _distinct(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct codes and each code's place among them, by counting instead of sorting."""
-    seen = np.zeros(int(codes.max(initial=0)) + 1, bool)
-    seen[codes] = True
-    distinct = np.flatnonzero(seen)
-    place = np.zeros(len(seen), np.int32)
-    place[distinct] = np.arange(len(distinct))
-    return distinct, place[codes]
-
-
-def bands(scored: DataFrame) -> dict[str | None, tuple[float, float]]:
-    """The lower and upper log10 perplexity of each language, from the histogram of all its documents."""
-    rows = scored.where("log10_ppl is not null").groupBy("lang", F.floor(F.col("log10_ppl") / BIN).cast("int").alias("bin")).agg(F.count("*").alias("n")).collect()
-    bins: dict[str | None, list[tuple[int, int]]] = {}
-    for x in rows:  # at most log10(CLASSES) / BIN bins a language, but for rare texts
-        bins.setdefault(x["lang"], []).append((x["bin"], x["n"]))
-    out = {}
-    for lang, b in bins.items():
-        b.sort()
-        total = np.cumsum([n for _, n in b])
-        if total[-1] < LEAST_DOCS:
-            continue
-        q1, q3 = ((b[int(np.searchsorted(total, share * total[-1]))][0] + 0.5) * BIN for share in (0.25, 0.75))
-        width = max(LEAST_WIDTH, BAND_WIDTH * (q3 - q1))
-        out[lang] = (q1 - width, q3 + width)
+        columns = [batch.column("doc_id"), batch.column("l"), batch.column("key"), *(pa.array(v, pa.int64()) for v in rules.values()), pc.binary_length(texts).cast(pa.int64())]
+        names = ["doc_id", "l", "key", *rules, "n_bytes"]
+        if model:
+            total = np.zeros(len(texts))
+            for lang, own in _by_language(batch):
+                codes, offsets = grams_of(texts.take(pa.array(own)))
+                distinct, at = np.unique(codes, return_inverse=True)
+                sums = np.concatenate([[0.0], np.cumsum(model.log10(lang, distinct)[at])])
+                total[own] = sums[offsets[1:]] - sums[offsets[:-1]]
+            columns.append(pa.array(total))
+            names.append("log10_p")
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The distinct n-grams of each text with their counts."""
+    for batch in slices(batches):
+        codes, offsets = grams_of(text_column(batch))
+        doc = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+        order = np.lexsort((codes, doc))
+        doc, codes = doc[order], codes[order]
+        head = np.ones(len(codes), bool)
+        head[1:] = (doc[1:] != doc[:-1]) | (codes[1:] != codes[:-1])
+        first = np.flatnonzero(head)
+        at = pa.array(doc[first])
+        yield pa.RecordBatch.from_arrays([batch.column("key").take(at), batch.column("l").take(at), pa.array(codes[first]), pa.array(np.diff(np.append(first, len(codes))))], names=["key", "l", "code", "n"])
+
+
+def _joined(columns: DataFrame, model: DataFrame) -> DataFrame:
+    """The figures and log10 probabilities by joins with a model too large to broadcast; equal texts are scored once."""
+    grams = staged(columns.mapInArrow(_grams, "key long, l string, code long, n long").groupBy("key", "l", "code").agg(F.max("n").alias("n")), "text-grams")
+    asked = grams.select("l", "code").distinct()
+    value = F.lit(float(-np.log10(256)))
+    for order in range(1, ORDER + 1):
+        suffix = F.col("code").bitwiseAND(_MASK[order])
+        asked = asked.withColumn("s", suffix).join(model.where(F.col("slot") == order - 1).select("l", F.col("code").alias("s"), F.col("value").cast("double").alias(f"p{order}")), ["l", "s"], "left").drop("s")
+        asked = asked.withColumn("s", F.shiftright(suffix, 8)).join(model.where(F.col("slot") == ORDER + order - 1).select("l", F.col("code").alias("s"), F.col("value").cast("double").alias(f"w{order}")), ["l", "s"], "left").drop("s")
+        value = F.coalesce(F.col(f"p{order}"), F.coalesce(F.col(f"w{order}"), F.lit(0.0)) + value)
+    asked = asked.select("l", "code", value.alias("value"))
+    sums = grams.join(asked, ["l", "code"]).groupBy("key").agg(F.sum(F.col("n") * F.col("value")).alias("log10_p"))
+    return columns.mapInArrow(lambda b: _figures(b, None), _FIGURES).join(sums, "key", "left").withColumn("log10_p", F.coalesce("log10_p", F.lit(0.0)))
+
+
+def _quartiles(scored: DataFrame, x: str, by: list[str]) -> DataFrame:
+    """The quartiles of x and the number of documents of each group, from its histogram."""
+    bins = scored.groupBy(*by, F.floor(F.col(x) / BIN).alias("bin")).agg(F.count("*").alias("k"))
+    group = Window.partitionBy(*by)  # a few thousand bins a group
+    bins = bins.withColumn("through", F.sum("k").over(group.orderBy("bin"))).withColumn("n", F.sum("k").over(group))
+    at = lambda share: F.min(F.when(F.col("through") >= share * F.col("n"), (F.col("bin") + 0.5) * BIN))
+    return bins.groupBy(*by).agg(at(0.25).alias(f"{x}_q1"), at(0.75).alias(f"{x}_q3"), F.max("n").alias(f"{x}_n"))
+
+
+def bands(scored: DataFrame) -> DataFrame:
+    """One row a language: the quartiles of both perplexities (log10), leaning on those of all documents."""
+    out = None
+    for x in ("by_word", "by_byte"):
+        pool = _quartiles(scored, x, []).select(F.col(f"{x}_q1").alias("q1"), F.col(f"{x}_q3").alias("q3")).first()
+        own = _quartiles(scored, x, ["l"])
+        lean = lambda q, all_: (F.col(f"{x}_n") * F.col(f"{x}_{q}") + PRIOR_DOCS * (all_ or 0.0)) / (F.col(f"{x}_n") + PRIOR_DOCS)  # noqa: E731, B023
+        own = own.select("l", lean("q1", pool and pool.q1).alias(f"{x}_q1"), lean("q3", pool and pool.q3).alias(f"{x}_q3"))
+        out = own if out is None else out.join(own, "l")
     return out
 
 
-def apply_rules(docs: DataFrame) -> DataFrame:
-    """The rules' figures, the perplexity and the verdict of every document."""
+def apply_rules(docs: DataFrame, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
+    """The rules' figures, the perplexities and the verdict of every document."""
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(fit_model(docs))
-    columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    scored = staged(columns.mapInArrow(lambda b: _score(b, model.value), _SCHEMA), "rules")
-    limits = [(lang, low, high) for lang, (low, high) in bands(scored).items()]
-    table = spark.createDataFrame(limits, "l string, low double, high double")
+    model = fit_model(docs)
+    columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.expr(_LANG))
+    columns = columns.withColumn("key", F.xxhash64(F.coalesce("text", F.lit("")), "l"))
+    if model.count() <= most_broadcast:
+        arrays = spark.sparkContext.broadcast(Model(model.toArrow()))
+        scored = columns.mapInArrow(lambda b: _figures(b, arrays.value), _FIGURES + ", log10_p double")
+    else:
+        scored = _joined(columns, model)
+    some = F.col("n_words") > 0
+    scored = staged(scored.withColumn("by_word", F.try_divide(-F.col("log10_p"), F.col("n_words"))).withColumn("by_byte", F.when(some, F.try_divide(-F.col("log10_p"), F.col("n_bytes")))), "rules")
     failed = (F.col("n_words") < LEAST_WORDS) | (F.col("n_repeat_words") * MOST_REPEATED[1] > F.col("n_words") * MOST_REPEATED[0])
-    inside = F.coalesce(F.col("log10_ppl").between(F.col("low"), F.col("high")), F.lit(True))
+    inside = F.lit(True)
+    for x in ("by_word", "by_byte"):
+        low, high = F.col(f"{x}_q1"), F.col(f"{x}_q3")
+        width = BAND * F.greatest(high - low, F.lit(BIN)) * F.sqrt(1 + PRIOR_WORDS / F.greatest("n_words", F.lit(1)))
+        inside = inside & F.coalesce(F.col(x).between(low - width, high + width), F.lit(True))
     return (
-        scored.join(F.broadcast(table), scored.lang.eqNullSafe(table.l), "left")
+        scored.join(bands(scored.where(some)), "l", "left")
         .withColumn("base_failed", failed)
-        .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & inside).alias("kept"), F.pow(F.lit(10.0), "log10_ppl").alias("perplexity"))
+        .select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", (~F.col("base_failed") & inside).alias("kept"), F.pow(F.lit(10.0), "by_word").alias("perplexity"), F.pow(F.lit(10.0), "by_byte").alias("byte_perplexity"))
     )
 
 

@@ -175,7 +175,7 @@ def test_decontamination(spark, docs, rows, none):
     assert decontamination.find_leaks(none, bench).count() == 0 and decontamination.find_leaks(docs, bench.limit(0)).count() == 0
 
 
-def test_quality_rules(docs, rows):
+def test_base_rules(docs, rows):
     got = {r["doc_id"]: r for r in quality_rules.apply_rules(docs).collect()}
     for doc, text, *_ in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
@@ -191,16 +191,82 @@ def test_quality_rules(docs, rows):
         assert r["base_failed"] == (len(w) < 10 or 100 * len(again) > 20 * len(w)) and not (r["base_failed"] and r["kept"])
 
 
-def test_kneser_ney_sums_to_one():
-    rng = np.random.default_rng(1)
-    text = "".join(rng.choice(list("abc d"), 400))
-    classes, offsets = quality_rules.classes_of(pa.array([text]))
-    codes, n = np.unique(quality_rules._codes(classes, quality_rules.ORDER)[quality_rules._real(offsets)], return_counts=True)
-    model = quality_rules.Model({"x": (codes.astype(np.int64), n)})
-    for context in ("abc", "zzz", "a b"):
-        head = [int(quality_rules._classes()[ord(c)]) for c in context]
-        grams = ((head[0] * quality_rules.CLASSES + head[1]) * quality_rules.CLASSES + head[2]) * quality_rules.CLASSES + np.arange(quality_rules.CLASSES)
-        assert (10 ** model.log10("x", grams)).sum() == pytest.approx(1, abs=1e-3)
+def brute_model(texts):
+    """log10 probability of a byte after the four before it, by modified Kneser-Ney over byte strings."""
+    n = quality_rules.ORDER
+    pad = lambda t: bytes(n - 1) + (t or "").encode()
+    levels = {n: Counter(b[i : i + n] for b in map(pad, texts) for i in range(len(b) - n + 1))}
+    for k in range(n - 1, 0, -1):
+        levels[k] = Counter(g[1:] for g in levels[k + 1])
+    cuts, totals = {}, {}
+    for k, level in levels.items():
+        t = [sum(c == j for c in level.values()) for j in (1, 2, 3, 4)]
+        y = t[0] / (t[0] + 2 * t[1]) if min(t) else 0
+        cuts[k] = [min(max(j - (j + 1) * y * t[j] / t[j - 1], 0.05), j - 0.05) for j in (1, 2, 3)] if min(t) else [0.5, 0.75, 0.9]
+        totals[k] = {}
+        for g, c in level.items():
+            x = totals[k].setdefault(g[:-1], [0, 0.0])
+            x[0] += c
+            x[1] += cuts[k][min(c, 3) - 1]
+
+    def p(g):
+        if not g:
+            return 1 / 256
+        k, c = len(g), levels[len(g)][g]
+        if g[:-1] not in totals[k]:
+            return p(g[1:])
+        total, mass = totals[k][g[:-1]]
+        return (c - cuts[k][min(c, 3) - 1] if c else 0) / total + mass / total * p(g[1:])
+
+    return lambda t: sum(math.log10(p(b[i : i + n])) for b in [pad(t)] for i in range(len(b) - n + 1)), p
+
+
+def brute_quartiles(values):
+    bins = sorted(math.floor(v / quality_rules.BIN) for v in values)
+    return [(bins[math.ceil(q * len(bins)) - 1] + 0.5) * quality_rules.BIN for q in (0.25, 0.75)]
+
+
+@pytest.mark.parametrize("most", [10**9, 0])
+def test_perplexity_and_verdicts(spark, docs, rows, most):
+    every = {lang: brute_model([r[1] for r in rows if r[2] == lang])[0] for lang in {r[2] for r in rows}}
+    x = [(-every[r[2]](r[1]) / len(words(r[1])), -every[r[2]](r[1]) / len((r[1] or "").encode())) if words(r[1]) else None for r in rows]
+    limits = {}
+    for k in (0, 1):
+        pool = brute_quartiles([v[k] for v in x if v])
+        for lang in every:
+            own = [v[k] for v, r in zip(x, rows, strict=True) if v and r[2] == lang]
+            limits[lang, k] = [(len(own) * a + 20 * b) / (len(own) + 20) for a, b in zip(brute_quartiles(own), pool, strict=True)]
+    got = {r["doc_id"]: r for r in quality_rules.apply_rules(docs, most).collect()}
+    for r, v in zip(rows, x, strict=True):
+        if not v:
+            assert got[r[0]]["perplexity"] is None and not got[r[0]]["kept"]
+            continue
+        assert got[r[0]]["perplexity"] == pytest.approx(10 ** v[0], rel=1e-3) and got[r[0]]["byte_perplexity"] == pytest.approx(10 ** v[1], rel=1e-3)
+        inside, near = True, False
+        for k in (0, 1):
+            q1, q3 = limits[r[2], k]
+            width = 1.75 * max(q3 - q1, quality_rules.BIN) * math.sqrt(1 + 50 / len(words(r[1])))
+            inside &= q1 - width <= v[k] <= q3 + width
+            near |= min(abs(v[k] - q1 + width), abs(v[k] - q3 - width)) < 0.01
+        assert near or got[r[0]]["kept"] == (inside and not got[r[0]]["base_failed"])
+
+
+def test_perplexity_rejects_planted_junk(spark):
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(6)
+    junk = [(10**6 + k, " ".join("".join(rng.choice("bcdfgjkqwxz0123456789@~^") for _ in range(rng.randint(2, 14))) for _ in range(60)), "en") for k in range(20)]
+    got = quality_rules.apply_rules(d.unionByName(spark.createDataFrame(junk, "doc_id long, text string, lang string"))).toPandas().set_index("doc_id")
+    assert not got.loc[[j[0] for j in junk]].kept.any() and got.base_failed.loc[[j[0] for j in junk]].sum() == 0
+    clean = got[(got.index < 10**6) & ~got.base_failed]
+    assert clean.kept.mean() > 0.85
+
+
+def test_kneser_ney_sums_to_one(spark):
+    text = "".join(random.Random(1).choice("abc d") for _ in range(400))
+    model = quality_rules.Model(quality_rules.fit_model(spark.createDataFrame([(text, "x")], "text string, lang string")).toArrow())
+    for context in (b"abca", b"zzzz", b"a b "):
+        grams = int.from_bytes(context) * 256 + np.arange(256)
+        assert (10 ** model.log10(":x", grams)).sum() == pytest.approx(1, abs=1e-3)
 
 
 def test_classifier_holds_out(spark, sf):
