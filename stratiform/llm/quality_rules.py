@@ -39,6 +39,8 @@ BIN = 0.002
 BAND, PRIOR_WORDS, PRIOR_DOCS = 1.75, 50, 20
 #: Entries of a model that is broadcast: about 12 bytes each.
 MOST_BROADCAST = 4_000_000
+#: Languages whose discounts are broadcast, so that a language's n-grams need not meet.
+MOST_LANGUAGES = 100_000
 #: Distinct n-grams that a task holds before it passes them on.
 FLUSH = 1_000_000
 _MASK = [(1 << 8 * k) - 1 for k in range(ORDER + 1)]
@@ -94,14 +96,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _rows(lang, *_merged(parts))
 
 
-def _discounted(level: DataFrame) -> DataFrame:
+def _discounted(level: DataFrame, few_languages: bool) -> DataFrame:
     """Each n-gram with its modified Kneser-Ney discount, from its language's counts of counts."""
     t = [F.sum((F.col("n") == k).cast("double")).alias(f"t{k}") for k in (1, 2, 3, 4)]
     some = F.least("t1", "t2", "t3", "t4") > 0
     y = F.try_divide(F.col("t1"), F.col("t1") + 2 * F.col("t2"))
     cut = [F.when(some, F.least(F.greatest(k - (k + 1) * y * F.try_divide(F.col(f"t{k + 1}"), F.col(f"t{k}")), F.lit(0.05)), F.lit(k - 0.05))).otherwise(flat).alias(f"d{k}") for k, flat in ((1, 0.5), (2, 0.75), (3, 0.9))]
     by_language = level.groupBy("l").agg(*t).select("l", *cut)
-    return level.join(by_language, "l").withColumn("d", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")))
+    return level.join(F.broadcast(by_language) if few_languages else by_language, "l").withColumn("d", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")))
 
 
 def fit_model(docs: DataFrame) -> DataFrame:
@@ -111,10 +113,10 @@ def fit_model(docs: DataFrame) -> DataFrame:
     levels = {ORDER: staged(columns.mapInArrow(_count, "l string, code long, n long").groupBy("l", "code").agg(F.sum("n").alias("n")), "grams")}
     for order in range(ORDER - 1, 0, -1):  # continuation counts: the distinct bytes before an n-gram
         levels[order] = staged(levels[order + 1].groupBy("l", F.col("code").bitwiseAND(_MASK[order]).alias("code")).agg(F.count("*").alias("n")), "grams")
-    below, model = None, None
+    below, model, few = None, None, levels[1].select("l").distinct().count() <= MOST_LANGUAGES
     for order in range(1, ORDER + 1):
         context = Window.partitionBy("l", "context")
-        rows = _discounted(levels[order]).withColumn("context", F.shiftright("code", 8))
+        rows = _discounted(levels[order], few).withColumn("context", F.shiftright("code", 8))
         rows = rows.withColumn("total", F.sum("n").over(context)).withColumn("weight", F.sum("d").over(context) / F.col("total")).withColumn("first", F.min("code").over(context) == F.col("code"))
         rows = rows.withColumn("suffix", F.col("code").bitwiseAND(_MASK[order - 1]))
         lower = F.lit(1 / 256)
@@ -269,25 +271,25 @@ def _joined(columns: DataFrame, model: DataFrame) -> DataFrame:
     return columns.mapInArrow(lambda b: _figures(b, None), _FIGURES).join(sums, "key", "left").withColumn("log10_p", F.coalesce("log10_p", F.lit(0.0)))
 
 
-def _quartiles(scored: DataFrame, x: str, by: list[str]) -> DataFrame:
-    """The quartiles of x and the number of documents of each group, from its histogram."""
-    bins = scored.groupBy(*by, F.floor(F.col(x) / BIN).alias("bin")).agg(F.count("*").alias("k"))
-    group = Window.partitionBy(*by)  # a few thousand bins a group
+def _quartiles(bins: DataFrame, by: list[str]) -> DataFrame:
+    """The quartiles and the number of documents of each group, from a histogram (bin, k) of a few thousand bins a group."""
+    bins = bins.groupBy(*by, "bin").agg(F.sum("k").alias("k"))
+    group = Window.partitionBy(*by)
     bins = bins.withColumn("through", F.sum("k").over(group.orderBy("bin"))).withColumn("n", F.sum("k").over(group))
     at = lambda share: F.min(F.when(F.col("through") >= share * F.col("n"), (F.col("bin") + 0.5) * BIN))
-    return bins.groupBy(*by).agg(at(0.25).alias(f"{x}_q1"), at(0.75).alias(f"{x}_q3"), F.max("n").alias(f"{x}_n"))
+    return bins.groupBy(*by).agg(at(0.25).alias("q1"), at(0.75).alias("q3"), F.max("n").alias("n"))
 
 
 def bands(scored: DataFrame) -> DataFrame:
     """One row a language: the quartiles of both perplexities (log10), leaning on those of all documents."""
-    out = None
-    for x in ("by_word", "by_byte"):
-        pool = _quartiles(scored, x, []).select(F.col(f"{x}_q1").alias("q1"), F.col(f"{x}_q3").alias("q3")).first()
-        own = _quartiles(scored, x, ["l"])
-        lean = lambda q, all_: (F.col(f"{x}_n") * F.col(f"{x}_{q}") + PRIOR_DOCS * (all_ or 0.0)) / (F.col(f"{x}_n") + PRIOR_DOCS)  # noqa: E731, B023
-        own = own.select("l", lean("q1", pool and pool.q1).alias(f"{x}_q1"), lean("q3", pool and pool.q3).alias(f"{x}_q3"))
-        out = own if out is None else out.join(own, "l")
-    return out
+    both = F.explode(F.array(*[F.struct(F.lit(x).alias("x"), F.floor(F.col(x) / BIN).alias("bin")) for x in ("by_word", "by_byte")])).alias("v")
+    # Written, so that the tasks' partial counts are summed by bin before a language's bins meet.
+    bins = staged(scored.select("l", both).groupBy("l", "v.x", "v.bin").agg(F.count("*").alias("k")), "histogram")
+    pool = _quartiles(bins, ["x"]).select("x", F.col("q1").alias("all1"), F.col("q3").alias("all3"))
+    lean = lambda q, pooled: (F.col("n") * F.col(q) + PRIOR_DOCS * F.col(pooled)) / (F.col("n") + PRIOR_DOCS)
+    own = _quartiles(bins, ["l", "x"]).join(F.broadcast(pool), "x").select("l", "x", lean("q1", "all1").alias("q1"), lean("q3", "all3").alias("q3"))
+    pick = lambda x, q: F.max(F.when(F.col("x") == x, F.col(q))).alias(f"{x}_{q}")
+    return own.groupBy("l").agg(*[pick(x, q) for x in ("by_word", "by_byte") for q in ("q1", "q3")])
 
 
 def apply_rules(docs: DataFrame, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
