@@ -5,7 +5,9 @@ A byte goes if a 50-byte string over it also starts in a document of smaller doc
 1. Exact copies of a text need no sorting: all but the least doc_id lose every byte (of 50 bytes at least).
 2. Anchors: every 50-byte window names the 16-byte string in it of least hash (the leftmost such). Equal windows have
    the same anchor at the same place, so windows that occur twice have anchors that occur twice. About one position in
-   18 is an anchor; Spark finds the anchors of two documents at least (one blob of hashes a task and bucket).
+   18 is an anchor. Each batch sends the anchors of one of its texts with that text's key, and those of several as one
+   count, to the anchor's bucket (blobs of hashes); what two texts share goes back to a bucket of the text's key, and the
+   texts are joined with their shared anchors. Every shuffle is linear in the anchors.
 3. The stretch of windows around each such anchor goes to the anchor's bucket. Stretches that are equal bytes in a task
    are one: only the least doc_id's travels, the others' windows are known to go.
 4. In a bucket, a suffix array of the stretches' suffixes at the anchor, and one of the reversed prefixes before it.
@@ -16,8 +18,9 @@ A byte goes if a 50-byte string over it also starts in a document of smaller doc
 5. Each document's intervals are joined back to its text.
 
 Anchors shared by very many texts meet as one stretch a task where the bytes around them are equal; only the ends of a
-shared passage differ between texts. Anchors with more than HOT stretches are spread by window instead: each window
-travels alone, to a bucket of its own hash.
+shared passage differ between texts. Anchors of more than HOT texts (more where the corpus is so large that over
+MOST_HOT anchors could be) are spread by window instead: each window travels alone, to a bucket of its own hash. Those
+anchors are broadcast; they number MOST_HOT at most.
 
 Defined results: null and empty texts have 0 bytes and the hash of nothing; texts under 50 bytes keep all; rows of
 equal doc_id do not remove each other; a null doc_id neither removes nor loses bytes; an empty table gives no rows;
@@ -34,18 +37,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import bucketed, by_bucket, documents, joined_blob, mix, ragged, read_array, scratch, ship, slices, staged, text_column, write_bytes
+from stratiform.llm.common import bucketed, by_bucket, documents, joined_blob, mix, ragged, ship, slices, staged, text_column
 
 LENGTH, KMER = 50, 16
 SPAN = LENGTH - KMER + 1
 SHALLOW = 32
 BUCKET_BYTES = 16 << 20
 MOST_BROADCAST = 1_000_000
-#: Documents that share an anchor from which its windows travel alone.
-HOT = 20_000
+#: Texts that share an anchor from which its windows travel alone, and the most such anchors.
+HOT, MOST_HOT = 20_000, 1_000_000
+#: Bytes of text for each anchor, about.
+ANCHOR_BYTES = 18
 _HEAD = np.dtype([("g", "<u8"), ("doc", "<i8"), ("tx", "<i8"), ("start", "<u4"), ("windows", "u1"), ("before", "u1")])
 _SPAN = np.dtype([("doc", "<i8"), ("tx", "<i8"), ("start", "<u4"), ("end", "<u4")])
 _ROW = "bucket int, spans boolean, heads binary, bytes binary"
+#: An anchor with the key of its text, or with no key and the number of texts that have it.
+_ASK = np.dtype([("g", "<u8"), ("key", "<i8"), ("n", "<u2")])
+_SHARED = np.dtype([("key", "<i8"), ("g", "<u8")])
+_ASKED = "bucket int, ready boolean, asks binary, shared binary"
 
 
 def _kmer_hashes(data: np.ndarray) -> np.ndarray:
@@ -116,54 +125,102 @@ def _runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(head), np.cumsum(head) - 1
 
 
-def _anchor_blobs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+def _blob_rows(bucket: np.ndarray, items: np.ndarray, ready: bool) -> Iterator[pa.RecordBatch]:
+    """The items as one blob a bucket."""
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    heads, _ = _runs(bucket)
+    cuts = np.append(heads, len(bucket))
+    blobs = pa.array([items[order[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
+    none = pa.nulls(len(heads), pa.binary())
+    yield pa.RecordBatch.from_arrays([pa.array(bucket[heads], pa.int32()), pa.array([ready] * len(heads)), none if ready else blobs, blobs if ready else none], names=["bucket", "ready", "asks", "shared"])
+
+
+def _key_bucket(key: np.ndarray, buckets: int) -> np.ndarray:
+    return _bucket(mix(key.astype(np.uint64)), buckets)
+
+
+def _ask(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Anchors of one text of the batch with its key, those of several as a count; the latter are known to be shared."""
     for batch in slices(batches):
         data, offsets = _buffer(text_column(batch))
         at, _, _, g = anchors(data, offsets)
         if not len(g):
             continue
-        doc = np.searchsorted(offsets, at, side="right") - 1
-        order = np.argsort(g, kind="stable")
-        heads, run = _runs(g[order])
-        own = doc[order]
-        step = np.ones(len(order), bool)
-        step[1:] = (own[1:] != own[:-1]) | (run[1:] != run[:-1])  # positions rise within a run, so documents do
-        docs = np.minimum(np.bincount(run, weights=step), 65535).astype(np.uint16)
-        keys = g[order][heads]
-        cuts = np.searchsorted(_bucket(keys, buckets), np.arange(buckets + 1))
-        some = np.flatnonzero(np.diff(cuts))
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([keys[cuts[k] : cuts[k + 1]].tobytes() for k in some], pa.binary()), pa.array([docs[cuts[k] : cuts[k + 1]].tobytes() for k in some], pa.binary())], names=["bucket", "keys", "docs"])
-
-
-def _write_shared(batches: Iterator[pa.RecordBatch], folder: str, hot: int) -> Iterator[pa.RecordBatch]:
-    for bucket, table in by_bucket(batches):
-        keys, docs = joined_blob(table.column("keys"), np.uint64), joined_blob(table.column("docs"), np.uint16).astype(np.int64)
-        order = np.argsort(keys, kind="stable")
-        heads, _ = _runs(keys[order])
-        total = np.add.reduceat(docs[order], heads) if len(heads) else docs
-        keys = keys[order][heads]
-        write_bytes(folder, f"shared-{bucket}", keys[(total > 1) & (total <= hot)].tobytes())
-        write_bytes(folder, f"hot-{bucket}", keys[total > hot].tobytes())
-        yield pa.RecordBatch.from_pydict({"bucket": [bucket], "n": [int((total > 1).sum())]}, schema=pa.schema([("bucket", pa.int32()), ("n", pa.int64())]))
-
-
-def _in_files(folder: str, name: str, g: np.ndarray, buckets: int, have: frozenset[int]) -> np.ndarray:
-    """Which hashes are in a bucket's sorted file."""
-    out = np.zeros(len(g), bool)
-    order = np.argsort(g)
-    cuts = np.searchsorted(_bucket(g[order], buckets), np.arange(buckets + 1))
-    for k in have:
-        own = order[cuts[k] : cuts[k + 1]]
-        if len(own) and len(keys := read_array(folder, f"{name}-{k}", np.uint64)):
-            out[own] = keys[np.minimum(np.searchsorted(keys, g[own]), len(keys) - 1)] == g[own]
-    return out
+        key = batch.column("key").to_numpy()[np.searchsorted(offsets, at, side="right") - 1]
+        order = np.lexsort((key, g))
+        g, key = g[order], key[order]
+        new = np.ones(len(g), bool)
+        new[1:] = (g[1:] != g[:-1]) | (key[1:] != key[:-1])
+        g, key = g[new], key[new]
+        heads, run = _runs(g)
+        texts = np.diff(np.append(heads, len(g)))
+        asks = np.zeros(len(heads), _ASK)
+        asks["g"], asks["key"], asks["n"] = g[heads], np.where(texts == 1, key[heads], 0), np.minimum(texts, 65535)
+        yield from _blob_rows(_bucket(asks["g"], buckets), asks, False)
+        several = texts[run] > 1
+        if several.any():
+            shared = np.zeros(int(several.sum()), _SHARED)
+            shared["key"], shared["g"] = key[several], g[several]
+            yield from _blob_rows(_key_bucket(shared["key"], buckets), shared, True)
+
+
+def _answer(batches: Iterator[pa.RecordBatch], buckets: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """The anchors of two texts or more, to their texts' buckets, and those of more than ``limit`` texts to bucket -1."""
+    for _, table in by_bucket(batches):
+        ready = table.column("ready").combine_chunks()
+        for x in table.filter(ready).column("shared"):
+            own = np.frombuffer(x.as_buffer(), _SHARED)
+            yield from _blob_rows(_key_bucket(own["key"], buckets), own, True)
+        asks = joined_blob(table.column("asks"), _ASK)
+        asks = asks[np.argsort(asks["g"], kind="stable")]
+        heads, run = _runs(asks["g"])
+        if not len(heads):
+            continue
+        total = np.add.reduceat(asks["n"].astype(np.int64), heads)
+        single = (asks["n"] == 1) & (total[run] > 1)
+        if single.any():
+            shared = np.zeros(int(single.sum()), _SHARED)
+            shared["key"], shared["g"] = asks["key"][single], asks["g"][single]
+            yield from _blob_rows(_key_bucket(shared["key"], buckets), shared, True)
+        many = total > limit
+        if many.any():
+            hot = np.zeros(int(many.sum()), _SHARED)
+            hot["g"] = asks["g"][heads][many]
+            yield from _blob_rows(np.full(len(hot), -1), hot, True)
+
+
+def _per_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row a text with all its shared anchors."""
+    for _, table in by_bucket(batches):
+        shared = joined_blob(table.column("shared"), _SHARED)
+        shared = shared[np.lexsort((shared["g"], shared["key"]))]
+        heads, _ = _runs(shared["key"])
+        ends = np.append(heads, len(shared))
+        g = np.ascontiguousarray(shared["g"])
+        for a in range(0, len(heads), 10_000):
+            own = range(a, min(a + 10_000, len(heads)))
+            yield pa.RecordBatch.from_arrays([pa.array(shared["key"][heads[a : a + 10_000]]), pa.array([g[ends[k] : ends[k + 1]].tobytes() for k in own], pa.binary())], names=["key", "gs"])
 
 
-def _stretches(batches: Iterator[pa.RecordBatch], folder: str, buckets: int, have: frozenset[int]) -> Iterator[pa.RecordBatch]:
+def _among(g: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which of g are among sorted values."""
+    return values[np.minimum(np.searchsorted(values, g), len(values) - 1)] == g if len(values) else np.zeros(len(g), bool)
+
+
+def _stretches(batches: Iterator[pa.RecordBatch], buckets: int, hot_anchors: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         data, offsets = _buffer(text_column(batch))
         at, low, high, g = anchors(data, offsets)
-        shared, hot = _in_files(folder, "shared", g, buckets, have), _in_files(folder, "hot", g, buckets, have)
+        doc = np.searchsorted(offsets, at, side="right") - 1
+        by_place = np.argsort(doc, kind="stable")
+        cuts = np.searchsorted(doc[by_place], np.arange(batch.num_rows + 1))
+        shared = np.zeros(len(g), bool)
+        for k, gs in enumerate(batch.column("gs")):
+            own = by_place[cuts[k] : cuts[k + 1]]
+            shared[own] = _among(g[own], np.frombuffer(gs.as_buffer(), np.uint64))
+        hot = _among(g, hot_anchors)
+        shared &= ~hot
         single = ragged(low[hot], high[hot] - low[hot] + 1)  # windows that travel alone
         size = (high - low + 1)[hot]
         at, low, high, g = (np.concatenate([x[shared], y]) for x, y in ((at, np.repeat(at[hot], size)), (low, single), (high, single), (g, np.repeat(g[hot], size))))
@@ -184,13 +241,14 @@ def _stretches(batches: Iterator[pa.RecordBatch], folder: str, buckets: int, hav
         travels = order[heads["doc"][order] == least]
         gone = order[heads["doc"][order] > least]
         yield from _spans(heads, gone, buckets)
-        travels = travels[np.argsort(_bucket(g[travels], buckets), kind="stable")]
+        bucket = _bucket(g[travels], buckets)
+        travels, bucket = travels[np.argsort(bucket, kind="stable")], np.sort(bucket)
         chosen, length = heads[travels], (high - low + LENGTH)[travels]
         body = data[ragged(low[travels], length)]
         ends = np.concatenate([[0], np.cumsum(length)])
-        cuts = np.searchsorted(_bucket(chosen["g"], buckets), np.arange(buckets + 1))
-        some = np.flatnonzero(np.diff(cuts))
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([False] * len(some)), pa.array([chosen[cuts[k] : cuts[k + 1]].tobytes() for k in some], pa.binary()), pa.array([body[ends[cuts[k]] : ends[cuts[k + 1]]].tobytes() for k in some], pa.binary())], names=["bucket", "spans", "heads", "bytes"])
+        some, _ = _runs(bucket)
+        cuts = np.append(some, len(bucket))
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[some], pa.int32()), pa.array([False] * len(some)), pa.array([chosen[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()), pa.array([body[ends[a] : ends[b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())], names=["bucket", "spans", "heads", "bytes"])
 
 
 def _prints(data: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -213,11 +271,11 @@ def _span_blobs(spans: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     """Merged spans, packed by a hash of the document."""
     if len(spans):
         out = _merged(spans)
-        bucket = _bucket(mix(out["doc"].astype(np.uint64)), buckets)
+        bucket = _key_bucket(out["doc"], buckets)
         order = np.argsort(bucket, kind="stable")
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        some = np.flatnonzero(np.diff(cuts))
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([True] * len(some)), pa.array([out[order[cuts[k] : cuts[k + 1]]].tobytes() for k in some], pa.binary()), pa.nulls(len(some), pa.binary())], names=["bucket", "spans", "heads", "bytes"])
+        some, _ = _runs(bucket[order])
+        cuts = np.append(some, len(order))
+        yield pa.RecordBatch.from_arrays([pa.array(bucket[order[some]], pa.int32()), pa.array([True] * len(some)), pa.array([out[order[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()), pa.nulls(len(some), pa.binary())], names=["bucket", "spans", "heads", "bytes"])
 
 
 def _merged(spans: np.ndarray) -> np.ndarray:
@@ -428,19 +486,23 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     spark = docs.sparkSession
     ship(spark)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text, F.octet_length(text)).alias("tx"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text, F.octet_length(text)).alias("tx")).withColumn("key", F.xxhash64("doc_id", "tx"))
     marks = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text, F.octet_length(text)).alias("tx"), F.md5(text.cast("binary")).alias("digest"), F.octet_length(text).cast("long").alias("n")), "marks").where(f"doc_id is not null and n >= {LENGTH}")
-    least = marks.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("most > least")
-    copies = staged(marks.join(least, "digest").where("doc_id > least").select("doc_id", "tx", "n").distinct(), "copies")
+    least = staged(marks.groupBy("digest").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).where("most > least").select("digest", "least"), "least")
+    copies = staged(marks.join(F.broadcast(least) if least.count() <= MOST_BROADCAST else least, "digest").where("doc_id > least").select("doc_id", "tx", "n").distinct(), "copies")
     few = copies.count() <= MOST_BROADCAST
     ids = copies.select("doc_id", "tx")
-    reps = texts.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH)).join(F.broadcast(ids) if few else ids, ["doc_id", "tx"], "left_anti").select("doc_id", "tx", "text")
+    reps = texts.where(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH)).join(F.broadcast(ids) if few else ids, ["doc_id", "tx"], "left_anti").select("doc_id", "tx", "key", "text")
     total = marks.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET_BYTES))
-    folder = scratch(spark, "anchors")
-    listed = bucketed(reps.mapInArrow(lambda b: _anchor_blobs(b, buckets), "bucket int, keys binary, docs binary"), buckets).mapInArrow(lambda b: _write_shared(b, folder, HOT), "bucket int, n long")
-    have = frozenset(x["bucket"] for x in staged(listed, "anchors-list").collect())
-    spans = bucketed(reps.mapInArrow(lambda b: _stretches(b, folder, buckets, have), _ROW), buckets).mapInArrow(lambda b: _resolve(b, buckets), _ROW)
+    limit = max(HOT, total // ANCHOR_BYTES // MOST_HOT)
+    asked = bucketed(reps.mapInArrow(lambda b: _ask(b, buckets), _ASKED), buckets).mapInArrow(lambda b: _answer(b, buckets, limit), _ASKED)
+    answers = staged(asked, "answers")
+    found = joined_blob(answers.where("bucket = -1").select("shared").toArrow().column("shared"), _SHARED)  # about MOST_HOT at most
+    hot = spark.sparkContext.broadcast(np.sort(found["g"]))
+    shared = bucketed(answers.where("bucket >= 0"), buckets).mapInArrow(_per_text, "key long, gs binary")
+    sharing = reps.join(shared, "key").select("doc_id", "tx", "text", "gs")
+    spans = bucketed(sharing.mapInArrow(lambda b: _stretches(b, buckets, hot.value), _ROW), buckets).mapInArrow(lambda b: _resolve(b, buckets), _ROW)
     spans = bucketed(spans, buckets).mapInArrow(_gather, "doc_id long, tx long, spans array<long>")
     spans = staged(spans.unionByName(copies.select("doc_id", "tx", F.array("n").alias("spans"))), "spans")
     joined = texts.join(spans, ["doc_id", "tx"], "left").select("doc_id", "text", "spans")
