@@ -535,3 +535,12 @@ def test_near_duplicates_with_two_texts_for_an_id(spark):
     rows = [(5, " ".join(a)), (5, " ".join(b)), (1, " ".join([*a, "tail"])), (9, " ".join([*b, "tail"])), (3, " ".join(f"w{rng.random()}" for _ in range(60)))]
     got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(1, 1), (3, 3), (5, 1), (5, 1), (9, 1)]
+
+
+def test_multikey_quicksort():
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 4, (700, 3), dtype=np.uint64)
+    group = rng.integers(0, 5, 700)
+    order, run = suffix_dedup.multikey_quicksort(words, group, 2)
+    keys = [(group[k], *words[k, :2].tolist()) for k in order]
+    assert keys == sorted(keys) and run.tolist() == [sorted(set(keys)).index(k) for k in keys]
