@@ -79,6 +79,26 @@ def safe_date(year: str | Column, month: str | Column, day: str | Column) -> Col
     return F.try_to_date(F.concat_ws("-", *[F.coalesce(col(c).cast("string"), F.lit("?")) for c in (year, month, day)]), "y-M-d")
 
 
+def safe_timestamp(value: str | Column, form: str) -> Column:
+    """The timestamp that the text gives in the format, null if it gives none (also under ANSI mode)."""
+    return F.try_to_timestamp(col(value), F.lit(form))
+
+
+def cleaned(gender: str, race: str, ethnicity: str, year: str, month: str, day: str, as_of: dt.date, genders: Sequence[int], races: Sequence[int], ethnicities: Sequence[int], version: str) -> dict[str, Column]:
+    """The seven columns of a cleaned person, for ``withColumns``: codes with unknowns replaced, birth date, age in whole years, its band, and the version of the rules."""
+    born = safe_date(year, month, day)
+    age = completed_years(born, as_of)
+    return {
+        "gender_code": recode(gender, genders, UNKNOWN_GENDER),
+        "race_code": recode(race, races, UNKNOWN_RACE),
+        "ethnicity_code": recode(ethnicity, ethnicities, UNKNOWN_ETHNICITY),
+        "birth_date": born,
+        "age_years": age,
+        "age_band": band(age, BANDS_19),
+        "rules_version": F.lit(version),
+    }
+
+
 def compliance_flag(key: str | Column, gender: str | Column, codes: Sequence[int] = COMPLIANT_GENDERS) -> Column:
     return col(key).isNotNull() & F.coalesce(col(gender).isin(list(codes)), F.lit(False))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,6 +53,17 @@ def alerts(runs: DataFrame, quarantined_pct: str, duration: str, average: str, s
     return runs.withColumns({"alert_quarantine": F.col(quarantined_pct) > MOST_QUARANTINED, "alert_slow": F.col(duration) > SLOW_TIMES * F.col(average), "alert_failed": F.col(status) == "FAILED"})
 
 
+def topk(df: DataFrame, k: int, *keys: str) -> DataFrame:
+    """The k groups with the most rows, ties in order of the keys."""
+    return by(df, *keys).orderBy(F.col("n").desc(), *keys).limit(k)
+
+
+def trace(layers: Mapping[str, DataFrame], key: str, value: object) -> DataFrame:
+    """The rows of one key in each layer: how many, in the layers' order."""
+    counts = [df.where(F.col(key) == F.lit(value)).agg(F.count("*").alias("n")).select(F.lit(i).alias("step"), F.lit(name).alias("layer"), "n") for i, (name, df) in enumerate(layers.items())]
+    return reduce(DataFrame.unionByName, counts)
+
+
 def reconcile(before: int, added: int, after: int) -> bool:
     return before + added == after
 

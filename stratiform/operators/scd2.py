@@ -31,11 +31,27 @@ def new_or_changed(dim: DataFrame, source: DataFrame, keys: Sequence[str], attri
     return out.where(~F.col("_new").eqNullSafe(F.col("_old"))).withColumn("_kind", F.when(F.col("_old").isNull(), "new").otherwise("changed")).drop("_new", "_old")
 
 
+def _not_before(start: Column, as_of: dt.date, value: Column) -> Column:
+    """The value; an error where a current version starts after ``as_of``."""
+    return F.when(start > F.lit(as_of), F.raise_error(F.concat(F.lit(f"a change at {as_of} is older than the current version of "), start.cast("string"), F.lit(": use rebuild")))).otherwise(value)
+
+
+def apply_anytime(dim: DataFrame, source: DataFrame, keys: Sequence[str], attributes: Sequence[str], as_of: dt.date) -> DataFrame:
+    """``apply``, where keys whose current version starts after ``as_of`` have the change put into their history instead."""
+    later = dim.where(F.col(CURRENT) & (F.col(FROM) > F.lit(as_of))).select(*keys).distinct()
+    back = later.join(source.select(*keys).distinct(), list(keys), "left_semi")
+    names = [c for c in dim.columns if c not in (*keys, FROM, TO, CURRENT)]
+    late = source.join(back, list(keys), "left_semi").select(*keys, *names, F.lit(as_of).alias(FROM), F.lit(1).alias("arrival"))
+    rest = apply(dim.join(back, list(keys), "left_anti"), source.join(back, list(keys), "left_anti"), keys, attributes, as_of)
+    return rest.unionByName(rebuild(dim.join(back, list(keys), "left_semi"), late, keys, names).select(rest.columns))
+
+
 def apply(dim: DataFrame, source: DataFrame, keys: Sequence[str], attributes: Sequence[str], as_of: dt.date, check: bool = True) -> DataFrame:
     """Close changed rows at ``as_of`` and open their successors; open new keys; leave the rest.
 
-    A row opened on ``as_of`` itself is replaced in place, so no interval is empty. One full outer join by key decides
-    everything: each joined pair gives its rows, history passes by.
+    A row opened on ``as_of`` itself is replaced in place, so no interval is empty. A change older than the current
+    version is an error, not a loss of that version; ``apply_anytime`` and ``rebuild`` take such changes. One full outer
+    join by key decides everything: each joined pair gives its rows, history passes by.
     """
     if check:
         assert_unique(source, keys)
@@ -46,7 +62,7 @@ def apply(dim: DataFrame, source: DataFrame, keys: Sequence[str], attributes: Se
     s = source.withColumn("_s", row_hash(attributes)).alias("s")
     joined = c.join(s, [F.col(f"c.{k}") == F.col(f"s.{k}") for k in keys], "full")
     changed = F.col("c._c").isNotNull() & F.col("s._s").isNotNull() & (F.col("c._c") != F.col("s._s"))
-    same_day = changed & (F.col(f"c.{FROM}") >= F.lit(as_of))
+    same_day = changed & (_not_before(F.col(f"c.{FROM}"), as_of, F.col(f"c.{FROM}")) == F.lit(as_of))
     names = dim.columns
     old = F.struct(*[(F.when(changed, F.lit(as_of)).otherwise(F.col(f"c.{x}")) if x == TO else (F.col(f"c.{x}") & ~F.coalesce(changed, F.lit(False))) if x == CURRENT else F.col(f"c.{x}")).alias(x) for x in names])
     fresh = {FROM: F.lit(as_of), TO: F.lit(OPEN_END), CURRENT: F.lit(True)}
@@ -62,7 +78,7 @@ def expire_then_insert(dim: DataFrame, source: DataFrame, keys: Sequence[str], a
     news = new_or_changed(dim, source, keys, attributes)
     changed = news.where("_kind = 'changed'").select(*keys)
     current, history = dim.where(CURRENT), dim.where(~F.col(CURRENT))
-    closed = current.join(changed, list(keys), "left_semi").where(F.col(FROM) < F.lit(as_of)).withColumns({TO: F.lit(as_of), CURRENT: F.lit(False)})
+    closed = current.join(changed, list(keys), "left_semi").where(_not_before(F.col(FROM), as_of, F.col(FROM)) < F.lit(as_of)).withColumns({TO: F.lit(as_of), CURRENT: F.lit(False)})
     kept = current.join(changed, list(keys), "left_anti")
     opened = initial(news.drop("_kind"), as_of)
     return history.select(dim.columns).unionByName(kept.select(dim.columns)).unionByName(closed.select(dim.columns)).unionByName(opened.select(dim.columns))
@@ -70,11 +86,16 @@ def expire_then_insert(dim: DataFrame, source: DataFrame, keys: Sequence[str], a
 
 def split_late(df: DataFrame, received: str | Column, effective: str, after_days: int = 1, max_days: int | None = 365) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(normal, late, rejected) by ``days_late``; null dates are normal."""
+    named = with_arrival(df, received, effective, after_days, max_days)
+    return tuple(named.where(F.col("arrival") == k).drop("arrival") for k in ("normal", "late", "rejected"))
+
+
+def with_arrival(df: DataFrame, received: str | Column, effective: str, after_days: int = 1, max_days: int | None = 365) -> DataFrame:
+    """Adds ``days_late`` and ``arrival`` (normal, late or rejected) in one projection."""
     got = F.col(received) if isinstance(received, str) else received
-    days = df.withColumn("days_late", F.datediff(got, F.col(effective)))
-    late = F.coalesce(F.col("days_late") > after_days, F.lit(False))
-    gone = late & (F.col("days_late") > max_days) if max_days is not None else F.lit(False)
-    return days.where(~late), days.where(late & ~gone), days.where(gone)
+    days = F.col("days_late")
+    kind = F.when(days > max_days, "rejected") if max_days is not None else F.when(F.lit(False), "rejected")
+    return df.withColumn("days_late", F.datediff(got, F.col(effective))).withColumn("arrival", kind.when(days > after_days, "late").otherwise("normal"))
 
 
 def rebuild(dim: DataFrame, late: DataFrame, keys: Sequence[str], attributes: Sequence[str], arrival: str = "arrival") -> DataFrame:

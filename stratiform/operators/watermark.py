@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.operators import merge
+from stratiform.operators import dedup, merge
 from stratiform.sources import tables
 
 SCHEMA = "control_id string, table_name string, layer string, last_watermark timestamp_ntz, last_run_time timestamp_ntz, rows_processed long, rows_quarantined long, status string, session_id string, error_message string, metadata string, created_date timestamp_ntz, updated_date timestamp_ntz"
@@ -84,6 +84,30 @@ class Control:
         return self.frame().where(F.col("status") != RUNNING).orderBy(*KEYS)
 
 
+def latest_rows(control: DataFrame) -> DataFrame:
+    """The newest control row of each table and layer."""
+    return dedup.latest(control, KEYS, ["last_run_time"], ["control_id"])
+
+
+def status_counts(control: DataFrame) -> DataFrame:
+    """Rows of each status, with the newest run."""
+    return control.groupBy("status").agg(F.count("*").alias("n"), F.max("last_run_time").alias("newest"))
+
+
+def preflight(df: DataFrame | None, column: str) -> list[tuple[str, str]]:
+    """(finding, detail) of a source and its watermark column: none if it can be loaded by increments."""
+    if df is None:
+        return [("MISSING_TABLE", "")]
+    if column.lower() not in {c.lower() for c in df.columns}:
+        return [("MISSING_COLUMN", column)]
+    x = profile(df, column).first()
+    if not x["total"]:
+        return [("EMPTY", column)]
+    if not x["non_null"]:
+        return [("NO_WATERMARK", column)]
+    return [("SPARSE_WATERMARK", f"{x['non_null']} of {x['total']}")] if x["sparse"] else []
+
+
 def profile(df: DataFrame, column: str) -> DataFrame:
     """One row about a watermark column: rows, non-null rows, least, greatest, and a warning under 10 % non-null; one pass."""
     n, some = F.count("*"), F.count(column)

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratiform.functions import expr
-from stratiform.operators import dedup, monitor, quality, scd2, watermark
-from stratiform.plans import schema
+from stratiform.operators import dedup, merge, monitor, quality, scd2, watermark
+from stratiform.plans import audit, datagen, schema
 from stratiform.plans.registry import query
-from stratiform.sources.tables import scan
+from stratiform.sources.tables import align, empty, scan
 
 AS_OF = dt.datetime(2024, 2, 1)
 
@@ -218,9 +218,7 @@ def late_arrival_split(spark: SparkSession, sf: str) -> DataFrame:
     kind = F.col("event_type")
     days = F.when(kind == "view", 0).when(kind == "click", 1).when(kind == "purchase", 5).otherwise(400)
     e = scan(spark, sf, "events").select("event_id", F.to_date("ts").alias("effective"), F.date_add(F.to_date("ts"), days).alias("received"))
-    parts = scd2.split_late(e, "received", "effective")
-    named = [p.select("event_id", "days_late", F.lit(k).alias("arrival")) for p, k in zip(parts, ("normal", "late", "rejected"), strict=True)]
-    return named[0].unionByName(named[1]).unionByName(named[2])
+    return scd2.with_arrival(e, "received", "effective").select("event_id", "days_late", "arrival")
 
 
 # --- control and monitoring -------------------------------------------------------------
@@ -231,10 +229,41 @@ def control_init(spark: SparkSession, sf: str) -> DataFrame:
     return watermark.initial_rows(spark, ["dbo.orders", "events"], AS_OF).select("table_name", "layer", "status", "rows_processed", "last_watermark")
 
 
-@query("SELECT event_type AS layer, user_id, ts AS last_run_time, CASE WHEN r = 1 THEN 'LATEST' ELSE 'OLDER' END AS state FROM (SELECT *, row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1")
+_CONTROL = """WITH c AS (SELECT CAST(event_id AS VARCHAR) AS control_id, event_type AS table_name, CASE user_id % 4 WHEN 0 THEN 'bronze' WHEN 1 THEN 'silver' WHEN 2 THEN 'gold' ELSE 'dim' END AS layer, ts AS last_run_time,
+ CASE WHEN value > 90 THEN 'FAILED' WHEN value > 80 THEN 'RUNNING' ELSE 'SUCCESS' END AS status FROM events) """
+
+
+def _control(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as a control table that keeps every run."""
+    layer = F.element_at(F.array(*map(F.lit, watermark.LAYERS)), (F.col("user_id") % 4 + 1).cast("int"))
+    status = F.when(F.col("value") > 90, watermark.FAILED).when(F.col("value") > 80, watermark.RUNNING).otherwise(watermark.SUCCESS)
+    return scan(spark, sf, "events").select(F.col("event_id").cast("string").alias("control_id"), F.col("event_type").alias("table_name"), layer.alias("layer"), F.col("ts").alias("last_run_time"), status.alias("status"))
+
+
+@query(_CONTROL + "SELECT control_id, table_name, layer, last_run_time, status FROM (SELECT *, row_number() OVER (PARTITION BY table_name, layer ORDER BY last_run_time DESC, control_id DESC) AS r FROM c) WHERE r = 1")
 def control_latest(spark: SparkSession, sf: str) -> DataFrame:
-    newest = dedup.latest(scan(spark, sf, "events").select("event_type", "user_id", "ts", "event_id"), ["event_type", "user_id"], ["ts"], ["event_id"])
-    return newest.select(F.col("event_type").alias("layer"), "user_id", F.col("ts").alias("last_run_time"), F.lit("LATEST").alias("state"))
+    return watermark.latest_rows(_control(spark, sf))
+
+
+@query(_CONTROL + "SELECT status, count(*) AS n, max(last_run_time) AS newest FROM c GROUP BY status")
+def control_status(spark: SparkSession, sf: str) -> DataFrame:
+    return watermark.status_counts(_control(spark, sf))
+
+
+@query("""SELECT * FROM (VALUES ('events', 'MISSING_COLUMN', 'no_such'), ('nothing', 'MISSING_TABLE', '')) a(source, finding, detail)
+UNION ALL SELECT 'rare', 'SPARSE_WATERMARK', count(w) || ' of ' || count(*) FROM (SELECT CASE WHEN event_id % 50 = 0 THEN ts END AS w FROM events)
+UNION ALL SELECT 'null', 'NO_WATERMARK', 'w' UNION ALL SELECT 'none', 'EMPTY', 'ts'""")
+def preflight_findings(spark: SparkSession, sf: str) -> DataFrame:
+    e = scan(spark, sf, "events")
+    sources = {
+        "events": (e, "no_such"),
+        "nothing": (None, "ts"),
+        "rare": (e.select(F.when(F.col("event_id") % 50 == 0, F.col("ts")).alias("w")), "w"),
+        "null": (e.select(F.lit(None).cast("timestamp").alias("w")), "w"),
+        "none": (e.where("event_id IS NULL"), "ts"),
+        "whole": (e, "ts"),
+    }
+    return spark.createDataFrame([(name, *x) for name, source in sources.items() for x in watermark.preflight(*source)], "source string, finding string, detail string")
 
 
 @query("SELECT count(*) AS total, count(w) AS non_null, min(w) AS least, max(w) AS greatest, count(w) < 0.1 * count(*) AS sparse FROM (SELECT CASE WHEN event_type = 'purchase' THEN ts END AS w FROM events)")
@@ -242,10 +271,11 @@ def profile_watermark(spark: SparkSession, sf: str) -> DataFrame:
     return watermark.profile(scan(spark, sf, "events").select(F.when(F.col("event_type") == "purchase", F.col("ts")).alias("w")), "w")
 
 
-@query("SELECT count(*) AS total, count(nullif(o_orderstatus, 'P')) AS with_status, count(nullif(o_orderpriority, '5-LOW')) AS with_priority FROM orders")
+@query("SELECT count(*) AS total, count(*) AS with_pipeline_run_id, count(CASE WHEN event_id % 7 > 0 THEN 1 END) AS with_lineage_source, count(*) AS with_lineage_bronze_ts FROM events")
 def lineage_completeness(spark: SparkSession, sf: str) -> DataFrame:
-    o = scan(spark, sf, "orders").select(F.nullif("o_orderstatus", F.lit("P")).alias("status"), F.nullif("o_orderpriority", F.lit("5-LOW")).alias("priority"))
-    return monitor.lineage_completeness(o, ["status", "priority"])
+    rows = scan(spark, sf, "events").select("event_id", "ts").withColumns(expr.bronze_lineage("run-1", "events", "p", "test", AS_OF))
+    rows = rows.withColumn("lineage_source", F.when(F.col("event_id") % 7 > 0, F.col("lineage_source")))  # rows of a loader that names no source
+    return monitor.lineage_completeness(rows, ["pipeline_run_id", "lineage_source", "lineage_bronze_ts"])
 
 
 @query("""WITH n AS (SELECT count(*) AS total, count(*) - count(nullif(o_orderstatus, 'P')) AS status, count(*) - count(nullif(o_orderpriority, '5-LOW')) AS priority, count(*) - count(o_totalprice) AS price FROM orders),
@@ -269,9 +299,15 @@ def _runs(spark: SparkSession, sf: str) -> DataFrame:
     return scan(spark, sf, "events").select(F.to_date("ts").alias("day"), "user_id", "value", "ts", F.when(F.col("event_type") == "purchase", "FAILED").otherwise("SUCCESS").alias("status"))
 
 
+def _audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as rows of the audit table."""
+    runs = _runs(spark, sf).select(F.col("ts").cast("timestamp_ntz").alias("timestamp"), "status", F.col("value").alias("duration_seconds"), F.lit("RUN").alias("event_type"))
+    return align(runs, empty(spark, audit.AUDIT).schema)
+
+
 @query(_RUNS + "SELECT day, count(*) AS runs, count(*) FILTER (WHERE status = 'SUCCESS') AS succeeded, CAST(100.0 * count(*) FILTER (WHERE status = 'SUCCESS') / count(*) AS DECIMAL(5,2)) AS success_rate, round(avg(value), 4) AS avg_duration FROM r GROUP BY day")
 def audit_kpis(spark: SparkSession, sf: str) -> DataFrame:
-    return monitor.run_kpis(_runs(spark, sf), "status", "value", "day")
+    return monitor.run_kpis(_audit(spark, sf).where("event_type = 'RUN'").withColumn("day", F.to_date("timestamp")), "status", "duration_seconds", "day")
 
 
 @query(_RUNS + "SELECT user_id, round((epoch(TIMESTAMP '2024-02-01') - floor(epoch(max(ts)))) / 3600.0, 2) AS hours_old, round((epoch(TIMESTAMP '2024-02-01') - floor(epoch(max(ts)))) / 3600.0, 2) > 24 AS stalled FROM r GROUP BY user_id")
@@ -294,6 +330,88 @@ def alert_flags(spark: SparkSession, sf: str) -> DataFrame:
     return monitor.alerts(d, "pct", "longest", "average", "run_status").select("day", "alert_quarantine", "alert_slow", "alert_failed")
 
 
+@query(_DQ + "SELECT failed_column, severity, count(*) AS n, count(DISTINCT o_orderkey) AS n_distinct FROM h GROUP BY ALL")
+def quarantine_by_column(spark: SparkSession, sf: str) -> DataFrame:
+    return monitor.by(_quarantine(spark, sf), "failed_column", "severity", distinct="o_orderkey")
+
+
+@query(_DQ + "SELECT rule_name AS dq_rule_name, count(*) AS n FROM h GROUP BY rule_name ORDER BY n DESC, rule_name LIMIT 2")
+def topk_failing(spark: SparkSession, sf: str) -> DataFrame:
+    return monitor.topk(_quarantine(spark, sf), 2, "dq_rule_name")
+
+
+def _resolved(spark: SparkSession, sf: str) -> DataFrame:
+    """The quarantine after the rows of one order were fixed."""
+    q = _quarantine(spark, sf)
+    ids = [r[0] for r in q.where("o_orderkey <= 20").select("quarantine_id").collect()]
+    return quality.resolve(q, ids, "FIXED", "someone", "mended at the source", AS_OF)
+
+
+@query(_DQ + "SELECT o_orderkey, rule_name AS dq_rule_name, CASE WHEN o_orderkey <= 20 THEN 'FIXED' ELSE 'NEW' END AS resolution_status, CASE WHEN o_orderkey <= 20 THEN 'someone' END AS resolved_by FROM h")
+def quarantine_resolve(spark: SparkSession, sf: str) -> DataFrame:
+    return _resolved(spark, sf).select("o_orderkey", "dq_rule_name", "resolution_status", "resolved_by")
+
+
+@query(_DQ + "SELECT CASE WHEN o_orderkey <= 20 THEN 'FIXED' ELSE 'NEW' END AS resolution_status, count(*) AS n FROM h GROUP BY 1")
+def quarantine_by_status(spark: SparkSession, sf: str) -> DataFrame:
+    return monitor.by(_resolved(spark, sf), "resolution_status")
+
+
+_SLA_LEVELS = {"availability": "CASE WHEN v >= 99.5 THEN 'GREEN' WHEN v >= 99.0 THEN 'AMBER' ELSE 'RED' END", "duration_min": "CASE WHEN v <= 5 THEN 'GREEN' WHEN v <= 10 THEN 'AMBER' ELSE 'RED' END", "dq_pass": "CASE WHEN v >= 95 THEN 'GREEN' WHEN v >= 90 THEN 'AMBER' ELSE 'RED' END", "freshness_h": "CASE WHEN v <= 2 THEN 'GREEN' WHEN v <= 4 THEN 'AMBER' ELSE 'RED' END"}
+
+
+@query("SELECT event_id, " + ", ".join(f"{sql} AS {level}" for level, sql in _SLA_LEVELS.items()) + " FROM (SELECT event_id, value AS v FROM events)")
+def sla_levels(spark: SparkSession, sf: str) -> DataFrame:
+    return scan(spark, sf, "events").select("event_id", *[monitor.sla_status(F.col("value"), level).alias(level) for level in monitor.SLA])
+
+
+@query(_DQ + "SELECT * FROM (SELECT 0 AS step, 'bronze' AS layer, count(*) AS n FROM g WHERE o_orderkey = 7 UNION ALL SELECT 1, 'silver', count(*) FROM g WHERE o_orderkey = 7 AND dq_status = 'PASS' UNION ALL SELECT 2, 'quarantine', count(*) FROM h WHERE o_orderkey = 7)")
+def key_trace(spark: SparkSession, sf: str) -> DataFrame:
+    e = _evaluated(spark, sf)
+    good, _ = quality.split(e)
+    return monitor.trace({"bronze": e, "silver": good, "quarantine": _quarantine(spark, sf)}, "o_orderkey", 7)
+
+
+# --- cleaning, merging some columns, learned draws ------------------------------------------
+
+
+@query("""WITH p AS (SELECT c_custkey, c_custkey % 9 AS g, c_custkey % 6 AS r, c_custkey % 11 AS e, 1930 + c_custkey % 90 AS y, 1 + c_custkey % 13 AS m, 1 + c_custkey % 31 AS d FROM customer),
+b AS (SELECT *, TRY_CAST(y || '-' || m || '-' || d AS DATE) AS birth_date FROM p), a AS (SELECT *, CAST(date_sub('year', birth_date, DATE '2026-01-01') AS INTEGER) AS age_years FROM b)
+SELECT c_custkey, CASE WHEN g IN (1, 2) THEN g ELSE 8551 END AS gender_code, CASE WHEN r IN (1, 2, 3) THEN r ELSE 0 END AS race_code, CASE WHEN e IN (1, 2, 3, 4) THEN e ELSE 7 END AS ethnicity_code, birth_date, age_years,
+ CASE WHEN age_years IS NULL THEN 'Unknown' WHEN age_years >= 90 THEN '90+' ELSE CAST(age_years // 5 * 5 AS VARCHAR) || '-' || CAST(age_years // 5 * 5 + 4 AS VARCHAR) END AS age_band, 'v4' AS rules_version FROM a""")
+def clean_people(spark: SparkSession, sf: str) -> DataFrame:
+    k = F.col("c_custkey")
+    p = scan(spark, sf, "customer").select("c_custkey", (k % 9).alias("g"), (k % 6).alias("r"), (k % 11).alias("e"), (F.lit(1930) + k % 90).alias("y"), (F.lit(1) + k % 13).alias("m"), (F.lit(1) + k % 31).alias("d"))
+    out = expr.cleaned("g", "r", "e", "y", "m", "d", dt.date(2026, 1, 1), (1, 2), (1, 2, 3), (1, 2, 3, 4), "v4")
+    return p.withColumns(out).select("c_custkey", *out)
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'X' ELSE c_mktsegment END AS c_mktsegment, c_nationkey FROM customer UNION ALL SELECT -1 - c_custkey, 'X', 99 FROM customer WHERE c_custkey % 3 = 0")
+def merge_columns(spark: SparkSession, sf: str) -> DataFrame:
+    c = scan(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    third = c.where("c_custkey % 3 = 0").select("c_custkey", F.lit("X").alias("c_mktsegment"), F.lit(99).cast(c.schema["c_nationkey"].dataType).alias("c_nationkey"))
+    new = third.withColumn("c_custkey", (-1 - F.col("c_custkey")).cast(c.schema["c_custkey"].dataType))
+    return merge.upsert(c, third.unionByName(new), ["c_custkey"], ["c_mktsegment"])
+
+
+@query("""WITH n AS (SELECT c_mktsegment, count(*) AS n FROM customer GROUP BY c_mktsegment), w AS (SELECT c_mktsegment, sum(n) OVER (ORDER BY c_mktsegment) / sum(n) OVER () AS upto, row_number() OVER (ORDER BY c_mktsegment DESC) AS last FROM n),
+u AS (SELECT o_orderkey, (o_orderkey * 7919 % 10007) / 10007.0 AS u FROM orders)
+SELECT o_orderkey, (SELECT min(c_mktsegment) FROM w WHERE upto > u OR last = 1) AS segment FROM u""")
+def learned_draw(spark: SparkSession, sf: str) -> DataFrame:
+    learned = datagen.weights(scan(spark, sf, "customer"), "c_mktsegment")
+    u = F.col("o_orderkey") * 7919 % 10007 / 10007.0
+    return scan(spark, sf, "orders").select("o_orderkey", datagen.drawn(u, learned, "c_mktsegment").alias("segment"))
+
+
+@query("""WITH v AS (SELECT c_custkey AS k, c_mktsegment AS attr, CASE WHEN c_custkey % 2 = 0 THEN DATE '2024-06-01' ELSE DATE '2023-01-01' END AS f FROM customer), s AS (SELECT k, 'NEW' AS attr FROM v WHERE k % 3 = 0)
+SELECT k, attr, f AS effective_from, CASE WHEN k % 3 = 0 AND k % 2 = 1 THEN DATE '2024-01-01' ELSE DATE '9999-12-31' END AS effective_to, NOT (k % 3 = 0 AND k % 2 = 1) AS is_current FROM v
+UNION ALL SELECT k, 'NEW', DATE '2024-01-01', CASE WHEN k % 2 = 0 THEN DATE '2024-06-01' ELSE DATE '9999-12-31' END, k % 2 = 1 FROM v WHERE k % 3 = 0""")
+def scd2_apply_anytime(spark: SparkSession, sf: str) -> DataFrame:
+    rows = scan(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("attr"))
+    dim = scd2.initial(rows.withColumn("f", F.when(F.col("k") % 2 == 0, F.lit(dt.date(2024, 6, 1))).otherwise(F.lit(dt.date(2023, 1, 1)))), F.col("f")).drop("f")
+    return scd2.apply_anytime(dim, rows.where("k % 3 = 0").withColumn("attr", F.lit("NEW")), ["k"], ["attr"], dt.date(2024, 1, 1))
+
+
 # --- the flagship: dedup, quality, aggregate ------------------------------------------------
 
 

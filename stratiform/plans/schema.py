@@ -48,8 +48,17 @@ def inspect(existing: StructType | None, incoming: StructType, recreate: bool =
 
 
 def prepare(df: DataFrame, existing: StructType | None, recreate: bool = False) -> tuple[Plan, DataFrame | None]:
-    """The plan, and the frame to load (existing columns first, in their order and types, then new ones); None if it failed."""
+    """The plan, and the frame to load (existing columns first, in their order and types, then new ones); None if it failed.
+
+    A cast that would turn a value into null is a failure (or a reason to recreate): one aggregate counts such values.
+    """
     plan = inspect(existing, df.schema, recreate)
+    if plan.casts and not plan.problems:
+        kinds = {f.name: f.dataType for f in existing.fields}
+        lost = df.agg(*[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(kinds[c]).isNull()).alias(c) for c in plan.casts]).first()
+        plan.problems = [f"{c}: {lost[c]} values can't become {kinds[c].simpleString()}" for c in plan.casts if lost[c]]
+        if plan.problems:
+            plan.action = RECREATE if recreate else FAILED
     if plan.action == FAILED:
         return plan, None
     if existing is None or plan.action == RECREATE:
@@ -66,11 +75,7 @@ def audit_defaults() -> dict[str, Column]:
     return {"created_timestamp": F.lit(None).cast("timestamp"), "updated_timestamp": F.lit(None).cast("timestamp"), "is_deleted": F.lit(False)}
 
 
-def migrate(spark: SparkSession, path: str, defaults: Mapping[str, Column] | None = None) -> int:
-    """Rewrite a table with more columns: new path, count checked, swapped in. Returns the rows."""
+def migrate(spark: SparkSession, path: str, defaults: Mapping[str, Column] | None = None, backup: str | None = None) -> int:
+    """Rewrite a table with more columns: new path, count checked there, then swapped in; ``backup`` keeps the old files. Returns the rows."""
     old = spark.read.parquet(path)
-    expected = old.count()
-    rows = tables.replace(add_columns(old, defaults or audit_defaults()), path)
-    if rows != expected:
-        raise ValueError(f"{rows} rows after the migration, {expected} before")
-    return rows
+    return tables.replace(add_columns(old, defaults or audit_defaults()), path, old.count(), backup)

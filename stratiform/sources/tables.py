@@ -63,8 +63,8 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    """Append; a partition column keeps one directory a value, and rows of a value reach few files."""
-    out = df.repartition(*partition_by) if partition_by else df
+    """Append; a partition column keeps one directory a value. Rows of a value reach few files, and a value with many rows several tasks."""
+    out = df.hint("rebalance", *partition_by) if partition_by else df
     out.write.mode("append").partitionBy(*partition_by).parquet(path)
 
 
@@ -96,23 +96,78 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def replace(df: DataFrame, path: str) -> int:
-    """Write a table that may be read by ``df`` itself: to a new path, counted there, then swapped in. Returns the rows."""
+def replace(df: DataFrame, path: str, expected: int | None = None, backup: str | None = None) -> int:
+    """Write a table that may be read by ``df`` itself: to a new path, counted there, then swapped in. Returns the rows.
+
+    With ``expected``, another count raises before the swap; with ``backup``, the old files are kept there.
+    """
     spark = df.sparkSession
     new, old = f"{path}.new-{uuid.uuid4().hex}", f"{path}.old-{uuid.uuid4().hex}"
     df.write.parquet(new)
     n = spark.read.schema(df.schema).parquet(new).count()
     fs, target = _fs(spark, path)
     hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    if expected is not None and n != expected:
+        fs.delete(hadoop(new), True)
+        raise ValueError(f"{n} rows were written for {path}, {expected} expected; the table is as it was")
     if fs.exists(target) and not fs.rename(target, hadoop(old)):
         raise OSError(f"{path} can't be moved")
     if not fs.rename(hadoop(new), target):
         fs.rename(hadoop(old), target)
         raise OSError(f"{new} can't be moved")
-    fs.delete(hadoop(old), True)
+    if backup and fs.exists(hadoop(old)):
+        if not fs.rename(hadoop(old), hadoop(backup)):
+            raise OSError(f"{old} can't be moved to {backup}")
+    else:
+        fs.delete(hadoop(old), True)
     return n
 
 
+# --- catalog ------------------------------------------------------------------
+
+
+def _columns(schema: StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def create_table(spark: SparkSession, table: str, schema: StructType | str, partition_by: Sequence[str] = (), path: str | None = None) -> None:
+    """A Parquet table of the catalog, where there is none of that name."""
+    columns = _columns(schema) if isinstance(schema, StructType) else schema
+    by = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    at = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({columns}) USING parquet{by}{at}")
+
+
+def add_table_columns(spark: SparkSession, table: str, schema: StructType) -> list[str]:
+    """Add the columns that the table lacks; returns their names."""
+    have = {c.lower() for c in spark.table(table).columns}
+    new = StructType([f for f in schema.fields if f.name.lower() not in have])
+    if new.fields:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({_columns(new)})")
+    return new.names
+
+
+def rename_table(spark: SparkSession, table: str, to: str) -> None:
+    spark.sql(f"ALTER TABLE {table} RENAME TO {to}")
+
+
+def drop_tables(spark: SparkSession, names: Sequence[str]) -> list[str]:
+    """Drop the tables that exist; returns their names."""
+    there = [t for t in names if spark.catalog.tableExists(t)]
+    for t in there:
+        spark.sql(f"DROP TABLE {t}")
+    return there
+
+
+def reset(spark: SparkSession, root: str, names: Sequence[str]) -> list[str]:
+    """Delete the named tables below a folder, for a run from nothing; returns those that were there."""
+    there = [n for n in names if exists(spark, f"{root.rstrip('/')}/{n}")]
+    for n in there:
+        fs, p = _fs(spark, f"{root.rstrip('/')}/{n}")
+        fs.delete(p, True)
+    return there
+
+
 def describe(spark: SparkSession, table: str) -> list[tuple[str, str]]:
     return [(f.name, f.dataType.simpleString()) for f in spark.table(table).schema.fields]
 

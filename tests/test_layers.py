@@ -35,10 +35,10 @@ def test_seed_batches(spark, tmp_path):
     assert second.rows["bronze"] == 5
     dim = spark.read.parquet(c.path("dim"))
     assert (dim.count(), dim.where("is_current").count()) == (20, 15)
-    assert dim.where("NOT is_current AND effective_to = DATE'2026-01-10'").count() == 5
+    assert dim.where("NOT is_current AND effective_to = DATE'2026-01-12'").count() == 5
     for check in (scd2.several_current(dim, ["person_key"]), scd2.gaps(dim, ["person_key"]), scd2.bad_order(dim), scd2.bad_current(dim)):
         assert check.count() == 0
-    assert pipeline.run(spark, source, c, dt.datetime(2026, 3, 1), "run-3").rows == {"bronze": 0}
+    assert pipeline.run(spark, source, c, dt.datetime(2026, 3, 1), "run-3").rows == {"bronze": 0, "silver": 0, "gold": 0}
     assert spark.read.parquet(f"{tmp_path}/audit_trail").where("event_type = 'RUN'").count() == 3
 
 
@@ -54,6 +54,30 @@ def test_failed_run_commits_no_mark(spark, tmp_path):
     assert spark.read.parquet(c.path("bronze")).count() == 15  # the rerun did not load Bronze twice
 
 
+def test_another_run_goes_on_where_a_failed_one_ended(spark, tmp_path):
+    clean, bad, _ = datagen.seed_rows(spark)
+    c = config(tmp_path)
+    with pytest.raises(Exception, match="no_such_column"):
+        pipeline.run(spark, clean.unionByName(bad), pipeline.Config(**{**c.__dict__, "derived": {"x": F.col("no_such_column")}}), dt.datetime(2026, 1, 31), "run-1")
+    out = pipeline.run(spark, clean.unionByName(bad), c, dt.datetime(2026, 1, 31), "run-2")
+    assert out.rows == {"bronze": 0, "silver": 0, "gold": 15, "dim": 15}
+    assert [spark.read.parquet(c.path(t)).count() for t in ("bronze", "silver", "quarantine", "gold", "dim")] == [18, 15, 3, 15, 15]
+
+
+def test_late_log(spark, tmp_path):
+    clean, _, late = datagen.seed_rows(spark)
+    c = config(tmp_path, max_backdate_days=100, notify_late_rows=2)
+    pipeline.run(spark, clean, c, dt.datetime(2026, 1, 31), "run-1")
+    old = late.where("person_id = 502").withColumn("business_effective_date", F.lit(dt.date(2020, 1, 1)))
+    out = pipeline.run(spark, clean.unionByName(late.where("person_id <> 502")).unionByName(old), c, dt.datetime(2026, 2, 28), "run-2")
+    assert out.late == {"PROCESSED": 4, "REJECTED": 1}
+    log = {r["person_id"]: r for r in spark.read.parquet(f"{tmp_path}/late_arrival_log").collect()}
+    assert set(log) == {501, 502, 503, 504, 505} and log[502]["status"] == "REJECTED" and "gender_concept_id" in log[501]["changed_attributes"]
+    assert log[501]["days_late"] == 47 and log[501]["old_values"] != log[501]["new_values"]
+    assert spark.read.parquet(c.path("dim")).count() == 19
+    assert spark.read.parquet(f"{tmp_path}/audit_trail").where("event_type = 'LATE' AND status = 'WARNING'").count() == 1
+
+
 def test_generator(spark):
     rows = datagen.people(spark, 500, dt.datetime(2026, 1, 1), first_id=2_000_001)
     assert rows.select("person_id").distinct().count() == 500 and rows.where("month_of_birth = 12").count() > 0
@@ -86,15 +110,23 @@ def test_rules_keep_every_failure(spark):
 
 def test_schema_plans(spark, tmp_path):
     old = spark.createDataFrame([(1, "a")], "id int, name string")
-    new = spark.createDataFrame([("7", 1.5), ("x", 2.5)], "id string, extra double")
+    new = spark.createDataFrame([("7", 1.5), (None, 2.5)], "id string, extra double")
     plan, frame = schema.prepare(new, old.schema)
     assert plan.action == schema.EVOLVED and frame.columns == ["id", "name", "extra"] and [r[0] for r in frame.collect()] == [7, None]
+    lossy = spark.createDataFrame([("7", 1.5), ("x", 2.5)], "id string, extra double")
+    plan, frame = schema.prepare(lossy, old.schema)
+    assert plan.action == schema.FAILED and frame is None and plan.problems == ["id: 1 values can't become int"]
+    assert schema.prepare(lossy, old.schema, True)[0].action == schema.RECREATE
     assert schema.inspect(None, new.schema).action == schema.CREATE and schema.inspect(old.schema, old.schema).action == schema.MERGE
     nested = spark.createDataFrame([([1],)], "id array<int>")
     assert schema.prepare(nested, old.schema)[1] is None and schema.inspect(old.schema, nested.schema, True).action == schema.RECREATE
     path = f"{tmp_path}/t"
     old.write.parquet(path)
-    assert schema.migrate(spark, path) == 1 and "is_deleted" in spark.read.parquet(path).columns
+    assert schema.migrate(spark, path, backup=f"{path}.before") == 1 and "is_deleted" in spark.read.parquet(path).columns
+    assert spark.read.parquet(f"{path}.before").columns == ["id", "name"]
+    with pytest.raises(ValueError, match="as it was"):
+        tables.replace(spark.read.parquet(path).limit(0), path, expected=1)
+    assert spark.read.parquet(path).count() == 1
 
 
 def test_tables(spark, tmp_path):
@@ -115,6 +147,46 @@ def test_tables(spark, tmp_path):
     assert tables.cast_existing(df, tables.empty(spark, "id int").schema).schema["id"].dataType.simpleString() == "int"
 
 
+def test_append_spreads_a_value_over_tasks(spark, tmp_path):
+    tables.append(spark.range(1000).withColumn("day", F.lit("d")), f"{tmp_path}/t", ["day"])
+    assert spark.read.parquet(f"{tmp_path}/t").groupBy("day").count().collect()[0]["count"] == 1000
+
+
+def test_catalog(spark, tmp_path):
+    wide = tables.empty(spark, "id int, name string, extra double").schema
+    tables.drop_tables(spark, ["people_a", "people_b"])
+    tables.create_table(spark, "people_a", "id int, name string")
+    tables.create_table(spark, "people_a", "id int")  # there already
+    spark.createDataFrame([(1, "a")], "id int, name string").write.insertInto("people_a")
+    assert tables.add_table_columns(spark, "people_a", wide) == ["extra"] and tables.add_table_columns(spark, "people_a", wide) == []
+    tables.rename_table(spark, "people_a", "people_b")
+    assert [tuple(r) for r in spark.table("people_b").collect()] == [(1, "a", None)]
+    assert tables.drop_tables(spark, ["people_a", "people_b"]) == ["people_b"]
+    spark.range(3).write.parquet(f"{tmp_path}/one")
+    assert tables.reset(spark, str(tmp_path), ["one", "two"]) == ["one"] and not tables.exists(spark, f"{tmp_path}/one")
+
+
+def test_quotas_draws_and_updates(spark):
+    at = dt.datetime(2026, 1, 1)
+    rows = datagen.people(spark, 400, at, first_id=1000)
+    quotas = {"null_id": 7, "bad_gender": 11, "future_year": 3, "old_year": 5, "bad_month": 2, "bad_day": 13}
+    broken = datagen.with_error_quotas(rows, quotas, 400, 1000)
+    got = broken.agg(*[F.count_if(F.expr(c)).alias(k) for k, c in {"null_id": "person_id IS NULL", "bad_gender": "gender_concept_id = 9999", "future_year": "year_of_birth > 2026", "old_year": "year_of_birth < 1900", "bad_month": "month_of_birth = 13", "bad_day": "day_of_birth = 32"}.items()]).first().asDict()
+    assert got == quotas
+    with pytest.raises(ValueError, match="kinds"):
+        datagen.with_error_quotas(rows, {"other": 1}, 400)
+    learned = datagen.learned_people(spark, rows.where("gender_concept_id <> 8551 AND year_of_birth < 1950"), 2000, at)
+    assert learned.where("gender_concept_id = 8551 OR year_of_birth >= 1950").count() == 0
+    share = learned.where("gender_concept_id = 8507").count() / 2000
+    want = rows.where("gender_concept_id = 8507 AND year_of_birth < 1950").count() / rows.where("gender_concept_id <> 8551 AND year_of_birth < 1950").count()
+    assert abs(share - want) < 0.06
+    updates = datagen.scd_updates(rows, 10, dt.datetime(2026, 2, 1), year_shift=-16)
+    merged = datagen.merge_updates(rows, updates)
+    assert merged.count() == 400 and merged.where("updated_timestamp = TIMESTAMP_NTZ'2026-02-01'").count() == 10
+    before = {r["person_id"]: r["year_of_birth"] for r in rows.collect()}
+    assert all(r["year_of_birth"] == before[r["person_id"]] - 16 for r in updates.collect())
+
+
 def test_recorder():
     r = Recorder("s", lambda: dt.datetime(2026, 1, 1))
     r.log("X", "one")
@@ -123,6 +195,18 @@ def test_recorder():
     assert r.summary() == {"SUCCESS": 1, "FAILED": 1} and r.errors[0][-1]
 
 
+def test_event_time_streams(spark, tmp_path):
+    rows = [(1, dt.datetime(2026, 1, 1, 10, 1)), (1, dt.datetime(2026, 1, 1, 10, 2)), (2, dt.datetime(2026, 1, 1, 10, 7))]
+    spark.createDataFrame(rows, "k int, at timestamp").coalesce(1).write.parquet(f"{tmp_path}/in")
+    source = lambda: spark.readStream.schema("k int, at timestamp").parquet(f"{tmp_path}/in")
+    for name, frame, mode in (("once", stream.deduplicated(source(), ["k"], "at", "1 hour"), "append"), ("counts", stream.windowed_counts(source(), "at", "1 hour", "5 minutes", "k"), "update")):
+        q = frame.writeStream.format("memory").queryName(name).outputMode(mode).option("checkpointLocation", f"{tmp_path}/{name}").trigger(availableNow=True).start()
+        q.awaitTermination(120)
+        assert q.exception() is None
+    assert spark.table("once").count() == 2
+    assert sorted((r["k"], r["n"]) for r in spark.table("counts").collect()) == [(1, 2), (2, 1)]
+
+
 def test_stream(spark, tmp_path):
     clean, bad, _ = datagen.seed_rows(spark)
     clean.unionByName(bad).coalesce(1).write.parquet(f"{tmp_path}/in")

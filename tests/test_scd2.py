@@ -36,6 +36,18 @@ def test_apply(spark, one, two):
     assert scd2.bad_order(same_day).count() == scd2.gaps(same_day, ["k"]).count() == scd2.several_current(same_day, ["k"]).count() == 0
 
 
+def test_apply_refuses_or_takes_the_past(spark):
+    d = dt.date
+    dim = scd2.initial(frame(spark, {1: ("x", 1), 2: ("y", 1)}), d(2024, 6, 1))
+    change = frame(spark, {1: ("z", 1), 3: ("n", 1)})
+    for f in (scd2.apply, scd2.expire_then_insert):
+        with pytest.raises(Exception, match="use rebuild"):
+            f(dim, change, ["k"], ["a", "b"], d(2024, 1, 1)).collect()
+    out = sorted((r["k"], r["a"], r["effective_from"], r["effective_to"], r["is_current"]) for r in scd2.apply_anytime(dim, change, ["k"], ["a", "b"], d(2024, 1, 1)).collect())
+    end = d(9999, 12, 31)
+    assert out == [(1, "x", d(2024, 6, 1), end, True), (1, "z", d(2024, 1, 1), d(2024, 6, 1), False), (2, "y", d(2024, 6, 1), end, True), (3, "n", d(2024, 1, 1), end, True)]
+
+
 def test_rebuild_in_the_past(spark):
     d = dt.date
     dim = spark.createDataFrame([(1, "x", d(2024, 1, 1), d(2024, 6, 1), False), (1, "y", d(2024, 6, 1), d(9999, 12, 31), True)], "k int, a string, effective_from date, effective_to date, is_current boolean")
