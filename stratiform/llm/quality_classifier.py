@@ -6,9 +6,9 @@ word shapes and letter pairs. Gated attention learns, from document labels only,
 
     a_i = softmax_i( w . (tanh(V h_i) * sigmoid(U h_i)) ),  h_i = tanh(E x_i),  score = sigmoid(c . sum_i a_i h_i + d)
 
-The model is fitted on the driver from a sample of at most SAMPLE labelled documents (those least in a hash order of
-doc_id, crc32(doc_id as text) mod 5 not 0), at most SAMPLE_PASSAGES passages of each, evenly spaced; the bounds are
-parameters. Scoring uses every passage of every text. Labels, language, source and doc_id are never features.
+The model is fitted on the driver from a sample of whole labelled documents, crc32(doc_id as text) mod 5 not 0: the first
+in a hash order of doc_id, at most SAMPLE of them and as many as have SAMPLE_PASSAGES passages together; both bounds are
+parameters. Fitting and scoring use every passage of every text. Labels, language, source and doc_id are never features.
 
 Scoring is one pass over the texts without a shuffle; the model (about 20,000 numbers) travels with the tasks.
 
@@ -25,17 +25,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import crc_bucket, documents, ship, slices, split_words, text_column
+from stratiform.llm.common import crc_bucket, documents, ship, slices, split_words, staged, text_column
 
 PASSAGE_WORDS = 64
 SHAPES, PAIRS = 32, 64
 DENSE = 20
 FEATURES = DENSE + SHAPES + PAIRS
 HIDDEN, GATE = 48, 24
-SAMPLE, SAMPLE_PASSAGES = 6000, 24
+SAMPLE, SAMPLE_PASSAGES = 6000, 120_000
 EPOCHS, BATCH, RATE, SEED = 30, 64, 0.004, 7
 CUT = 0.3
 #: Kinds of bytes: 0 lower, 1 upper, 2 digit, 3 full stop or comma, 4 other ASCII mark, 5 symbol, 6 beyond ASCII.
@@ -176,12 +176,11 @@ def fit(x: np.ndarray, bags: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, se
     return Mil(mean.astype(np.float32), scale.astype(np.float32), {k: p.astype(np.float32) for k, p in w.items()})
 
 
-def _encode_sample(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+def _encode_sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         x, bags = passages(text_column(batch))
-        kept = [bags[k] + np.unique(np.linspace(0, bags[k + 1] - bags[k] - 1, min(most, bags[k + 1] - bags[k])).astype(np.int64)) for k in range(batch.num_rows)]
-        rows = [x[k].astype(np.float32).tobytes() for k in kept]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(rows, pa.binary())], names=["doc_id", "quality", "x"])
+        rows = [x[a:b].astype(np.float32).tobytes() for a, b in zip(bags[:-1], bags[1:], strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("quality"), pa.array(rows, pa.binary()), pa.array(np.diff(bags), pa.int64())], names=["doc_id", "quality", "x", "n"])
 
 
 def fit_from_tables(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, most: int = SAMPLE_PASSAGES) -> Mil:
@@ -190,8 +189,15 @@ def fit_from_tables(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, mo
     # A top-k of a hash order: each task keeps `sample` rows at most.
     chosen = labels.where((crc_bucket("doc_id", 5) != 0) & F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id", "quality").limit(sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    encoded = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(lambda b: _encode_sample(b, most), "doc_id long, quality int, x binary")
-    rows = encoded.toArrow().sort_by([("doc_id", "ascending"), ("quality", "ascending")])
+    encoded = staged(texts.join(F.broadcast(chosen), "doc_id").mapInArrow(_encode_sample, "doc_id long, quality int, x binary, n long"), "sample")
+    place = F.struct(F.xxhash64("doc_id"), "doc_id", "quality", F.xxhash64("x"))
+    # Whole rows in hash order while their passages fit; many rows may share one labelled doc_id.
+    first = encoded.select(place.alias("place"), "n").orderBy("place").limit(sample)
+    ahead = first.withColumn("upto", F.sum("n").over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, 0)))  # of at most `sample` rows
+    last = ahead.where(F.col("upto") <= most).agg(F.max("place").alias("last")).first()["last"]
+    if last is not None:
+        encoded = encoded.where(place <= F.struct(*[F.lit(v).cast(t) for v, t in zip(last, ("long", "long", "int", "long"), strict=True)]))
+    rows = encoded.select("doc_id", "quality", "x").limit(sample).toArrow() if last is not None else encoded.select("doc_id", "quality", "x").limit(0).toArrow()
     bags = [np.frombuffer(b, np.float32).reshape(-1, FEATURES) for b in rows.column("x").to_pylist()]
     order = sorted(range(len(bags)), key=lambda k: (rows.column("doc_id")[k].as_py(), rows.column("quality")[k].as_py(), bags[k].tobytes()))
     bags = [bags[k] for k in order]

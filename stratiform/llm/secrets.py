@@ -4,9 +4,11 @@ Base kinds (regular expressions, leftmost and non-overlapping per kind; ASCII ca
 ``access``, ``hex``. The method adds kind ``literal``: a lexer reads source and configuration syntax
 (``name = "literal"``, ``name: literal``, ``name => ...``, ``name=literal``, ``"name": "literal"``,
 ``export NAME=literal``, ``<name>literal</name>``, ``--name literal``) into name-literal pairs, propagates constants
-(``a = "..."`` then ``password = a``, and ``+`` of literals and known names), and scores each literal by how sensitive
-its target name is and by how random the literal looks. A literal that reaches the threshold is a span of its own
-text, unless a base span covers it.
+(``a = "..."`` then ``password = a``, and ``+`` of literals and known names, over line ends too), and scores each value by
+how sensitive its target name is and by how random the value looks. The literals of a value that reaches the threshold
+are spans of their own text, unless a base span covers them. A password inside a URL (``//user:password@``) counts as a
+pair with the name ``password``. A constant is kept as references to its parts with sums over its characters, so a value
+joined from any number of literals, of any length, is judged whole.
 
 Spans are code points, end exclusive. The text is scanned where it lies: no shuffle, memory bounded by one batch.
 Only lines with an assignment mark next to a name or literal are lexed.
@@ -20,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -45,11 +48,11 @@ NAME_WEIGHTS = {
     "auth": 0.6, "authorization": 0.7, "bearer": 0.8, "signature": 0.5, "salt": 0.5, "private": 0.6, "key": 0.5, "access": 0.4, "client": 0.2, "session": 0.5, "cookie": 0.4, "dsn": 0.6, "conn": 0.3, "connection": 0.3,
 }
 #: Sum of a pair's name score and literal score from which the literal is a finding.
-THRESHOLD = 1.5
+THRESHOLD = 1.4
 LEAST_LITERAL = 6
 #: Texts of literals that are no secrets.
 _DUMMY = re.compile(r"(?i)(?:x+|\*+|\.+|changeme|example|placeholder|password|secret|none|null|true|false|your[_-].*|<.*>|\$\{.*\}|\{\{.*\}\}|%.*%)")
-_MARK = re.compile(r"""[A-Za-z0-9_\])"']\x20*(?:=>|:=|=|:)\x20*["'`A-Za-z0-9/+$_]|--[A-Za-z]|</""")
+_MARK = re.compile(r"""[A-Za-z0-9_\])"']\x20*(?:=>|:=|=|:)[\x20\n]*["'`A-Za-z0-9/+$_]|--[A-Za-z]|</""")
 _HINT = re.compile(r"[=:]|--[A-Za-z]|</")
 _TOKEN = re.compile(
     r"""(?P<string>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)|(?P<tag><(?P<tagname>[A-Za-z_][\w.-]*)>(?P<tagtext>[^<\n]+)</)|(?P<flag>--(?P<flagname>[A-Za-z][\w-]*))|(?P<name>[A-Za-z_][\w.-]*)|(?P<op>=>|:=|==|!=|<=|>=|=|:|\+)|(?P<bare>[A-Za-z0-9+/][A-Za-z0-9+/_.=-]*)|(?P<other>\S)""",
@@ -57,6 +60,10 @@ _TOKEN = re.compile(
 )
 _PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _VALUE = re.compile(r"[A-Za-z0-9+/_.=~!@#$%^&*-]+")
+_RUN = re.compile(r"[A-Za-z0-9+/_.=-]+")
+#: The end of a line that goes on: an assignment mark or a plus after a name or literal.
+_OPEN = re.compile(r"""[A-Za-z0-9_"'`]\x20*(?:=>|:=|=|\+|\+\x20*\\)\x20*$""")
+_URL = re.compile(r"[A-Za-z][A-Za-z0-9+.-]{0,30}://[^\s/:@]+:([^\s/@]+)@")
 
 
 def name_score(name: str) -> float:
@@ -68,22 +75,60 @@ def name_score(name: str) -> float:
     return score
 
 
+class Value:
+    """A literal, or literals joined: its parts, and sums over its characters."""
+
+    __slots__ = ("place", "parts", "n", "counts", "head", "tail", "plain")
+
+    def __init__(self, text: str, place: tuple[int, int]):
+        self.place, self.parts, self.n, self.counts = place, (), len(text), Counter(text)
+        self.head, self.tail, self.plain = text[:64], text[-64:], bool(_VALUE.fullmatch(text)) or not text
+
+    @classmethod
+    def joined(cls, parts: list[Value]) -> Value:
+        if len(parts) == 1:
+            return parts[0]
+        out = cls("", (0, 0))
+        out.place, out.parts, out.n, out.plain = None, tuple(parts), sum(p.n for p in parts), all(p.plain for p in parts)
+        for p in parts:
+            out.counts.update(p.counts)
+            out.head, out.tail = (out.head + p.head)[:64], (out.tail + p.tail)[-64:]
+        return out
+
+    def literals(self, seen: set[int]) -> Iterator[tuple[int, int]]:
+        """The places of all its literals; ``seen`` holds the parts that were listed before."""
+        stack = [self]
+        while stack:
+            v = stack.pop()
+            if id(v) not in seen:
+                seen.add(id(v))
+                if v.place:
+                    yield v.place
+                stack += v.parts
+
+    def score(self) -> float:
+        """0 to 1: bits by the characters' entropy, for values that look like no words; less for one kind of character."""
+        n = self.n
+        if n < LEAST_LITERAL or not self.plain or _DUMMY.fullmatch(self.head if n <= 64 else self.head + "\0" + self.tail):
+            return 0.0
+        bits = -sum(c * math.log2(c / n) for c in self.counts.values())
+        kinds = sum(any(f(c) for c in self.counts) for f in (str.islower, str.isupper, str.isdigit)) + any(not c.isalnum() for c in self.counts)
+        one = 0.65 if n >= (10 if all(map(str.isdigit, self.counts)) else 16) else 0.4
+        return min(1.0, bits / 40) * (1.0 if kinds > 1 else one)
+
+
 def literal_score(text: str) -> float:
-    """0 to 1: bits of the literal by its characters' entropy, for literals that look like no words."""
-    if len(text) < LEAST_LITERAL or _DUMMY.fullmatch(text) or not _VALUE.fullmatch(text):
-        return 0.0
-    n = len(text)
-    bits = -sum(c / n * math.log2(c / n) for c in Counter(text).values()) * n
-    kinds = sum(any(f(c) for c in text) for f in (str.islower, str.isupper, str.isdigit)) + any(not c.isalnum() for c in text)
-    return min(1.0, bits / 40) * (1.0 if kinds > 1 else 0.4)
+    return Value(text, (0, 0)).score()
 
 
 def _lines(text: str) -> Iterator[tuple[int, str]]:
-    """Each line with an assignment mark, once, with its start."""
+    """Each line with an assignment mark, once, with its start; a line that ends in one goes on with the next."""
     at = 0
     while m := _HINT.search(text, at):
         start = text.rfind("\n", 0, m.start()) + 1
         end = text.find("\n", m.end())
+        while end >= 0 and _OPEN.search(text, max(start, end - 64), end):
+            end = text.find("\n", end + 1)
         end = len(text) if end < 0 else end
         line = text[start:end]
         if _MARK.search(line):
@@ -91,10 +136,10 @@ def _lines(text: str) -> Iterator[tuple[int, str]]:
         at = end
 
 
-def literals(text: str) -> list[tuple[str, int, int, str]]:
-    """Name-literal pairs (name, start, end, value) in order; a propagated constant has the place of its literal."""
-    known: dict[str, tuple[list[tuple[int, int]], str]] = {}
-    out: list[tuple[str, int, int, str]] = []
+def assignments(text: str) -> list[tuple[str, Value]]:
+    """Names with their values, in order."""
+    known: dict[str, Value] = {}
+    out: list[tuple[str, Value]] = [("password", Value(m[1], m.span(1))) for m in _URL.finditer(text)] if "://" in text else []
     for base, line in _lines(text):
         tokens = [m for m in _TOKEN.finditer(line)]
         k = 0
@@ -102,7 +147,9 @@ def literals(text: str) -> list[tuple[str, int, int, str]]:
             m = tokens[k]
             name, at = None, k + 1
             if m["tag"]:
-                out.append((m["tagname"], base + m.start("tagtext"), base + m.end("tagtext"), m["tagtext"].strip()))
+                inner = m["tagtext"].strip()
+                start = base + m.start("tagtext") + m["tagtext"].find(inner)
+                out.append((m["tagname"], Value(inner, (start, start + len(inner)))))
             elif m["flag"]:
                 name = m["flagname"]
                 if at < len(tokens) and tokens[at]["op"] == "=":
@@ -115,19 +162,16 @@ def literals(text: str) -> list[tuple[str, int, int, str]]:
             if name is None or at >= len(tokens):
                 k += 1
                 continue
-            places, value = [], ""
+            parts: list[Value] = []
             while at < len(tokens):
                 v = tokens[at]
                 if v["string"]:
-                    places.append((base + v.start() + 1, base + v.end() - 1))
-                    value += v["string"][1:-1]
+                    parts.append(Value(v["string"][1:-1], (base + v.start() + 1, base + v.end() - 1)))
                 elif v["name"] and v["name"] in known:
-                    places += known[v["name"]][0]
-                    value += known[v["name"]][1]
-                elif (v["bare"] or v["name"]) and not value:
-                    run = re.compile(r"[A-Za-z0-9+/_.=-]+").match(line, v.start())
-                    places.append((base + run.start(), base + run.end()))
-                    value = run[0]
+                    parts.append(known[v["name"]])
+                elif (v["bare"] or v["name"]) and not parts:
+                    run = _RUN.match(line, v.start())
+                    parts.append(Value(run[0], (base + run.start(), base + run.end())))
                     while at + 1 < len(tokens) and tokens[at + 1].start() < run.end():
                         at += 1
                 else:
@@ -137,9 +181,9 @@ def literals(text: str) -> list[tuple[str, int, int, str]]:
                     at += 1
                 else:
                     break
-            if places:
-                known[name] = (places[:64], value[:4096])
-                out += [(name, a, b, value) for a, b in places]
+            if parts:
+                known[name] = Value.joined(parts)
+                out.append((name, known[name]))
             k = max(k + 1, at - 1 if at < len(tokens) and tokens[at - 1]["string"] is None else at)
     return out
 
@@ -160,11 +204,18 @@ def scan_text(text: str, threshold: float = THRESHOLD) -> tuple[list[tuple[str,
     """The base spans, and all spans; each by start, then kind."""
     key = lambda s: (s[1], KINDS.index(s[0]), s[2])
     base = sorted(base_spans(text), key=key)
-    more = set()
-    for name, a, b, value in literals(text):
+    starts, reach = [x for _, x, _ in base], []
+    for _, _, y in base:
+        reach.append(max(y, reach[-1] if reach else 0))
+    more: set[tuple[str, int, int]] = set()
+    seen: set[int] = set()
+    for name, value in assignments(text):
         score = name_score(name)
-        if score and score + literal_score(value) >= threshold and not any(x <= a and b <= y for _, x, y in base):
-            more.add(("literal", a, b))
+        if score and score + value.score() >= threshold:
+            for a, b in value.literals(seen):
+                k = bisect_right(starts, a)  # the base spans that start at or before a
+                if b > a and not (k and reach[k - 1] >= b):
+                    more.add(("literal", a, b))
     return base, sorted([*base, *more], key=key) if more else base
 
 

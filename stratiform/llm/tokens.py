@@ -1,13 +1,15 @@
 """Token ids of whole texts by a public tokenizer, much faster than one call a text.
 
-White space always separates this tokenizer's pieces, so a text's ids are the ids of its white-space chunks in
-order. Arrow splits and numbers the chunks of a batch; each distinct word of them is encoded once and kept in a bounded
+White space always separates the default tokenizer's pieces, so a text's ids are the ids of its white-space chunks in
+order. Any other tokenizer file (known by its content, not its name) encodes whole texts by the library alone.
+Arrow splits and numbers the chunks of a batch; each distinct word of them is encoded once and kept in a bounded
 table of the worker process. Chunks of plain Latin letters, digits and ASCII punctuation go to the library's merge
 model piece by piece; every other chunk goes through the library's whole pipeline.
 """
 
 from __future__ import annotations
 
+import hashlib
 import re
 from functools import lru_cache
 from itertools import chain
@@ -19,6 +21,8 @@ import pyarrow.compute as pc
 from stratiform.llm.common import ragged, split_words
 
 DEFAULT_FILE = "word_bpe_49k.json"
+#: Fixed value: SHA-256 of the file whose pieces never reach over white space.
+DEFAULT_SHA256 = "53fa9d558ea625daafcd57cd61e7be7b3c7043ea584b22d09575cf5ea9131b0a"
 #: Bytes of the table, about, before it starts anew; bounds a worker's memory.
 TABLE_BYTES = 40 << 20
 #: What an entry takes beside its chunk's bytes: dictionary slot, key and place objects, start and count.
@@ -44,7 +48,8 @@ class ChunkEncoder:
 
         self.whole = Tokenizer.from_file(path)
         self.model = self.whole.model
-        self.fast = path.endswith(DEFAULT_FILE)
+        with open(path, "rb") as f:
+            self.fast = hashlib.sha256(f.read()).hexdigest() == DEFAULT_SHA256
         self.letters = self._byte_letters()
         self._clear()
 
@@ -64,7 +69,7 @@ class ChunkEncoder:
         return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0xC0, 0x100)}
 
     def _encode(self, chunk: str) -> list[int]:
-        if not self.fast or not _PLAIN.fullmatch(chunk) or "<|" in chunk:
+        if not _PLAIN.fullmatch(chunk) or "<|" in chunk:
             return self.whole.encode(chunk, add_special_tokens=False).ids
         tokenize, letters = self.model.tokenize, self.letters
         if chunk.isalpha():
@@ -97,6 +102,9 @@ class ChunkEncoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts as uint32, and the n+1 offsets of each text's ids."""
+        if not self.fast:
+            ids = [np.array(e.ids, np.uint32) for e in self.whole.encode_batch(texts.to_pylist(), add_special_tokens=False)]
+            return np.concatenate([*ids, np.empty(0, np.uint32)]), np.concatenate([[0], np.cumsum([len(x) for x in ids], dtype=np.int64)])
         flat, offsets = split_words(texts, lower=False)
         if not len(flat):
             return np.empty(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
@@ -104,19 +112,14 @@ class ChunkEncoder:
         chunks = coded.dictionary
         if self.held > TABLE_BYTES:
             self._clear()
-        if self.fast:
-            parts = pc.extract_regex(chunks, _SIMPLE)
-            simple = pc.is_valid(parts)
-            words = self._places(pc.if_else(simple, pc.utf8_lower(parts.field("word")), chunks))
-            tails = self._places(pc.if_else(simple, parts.field("tail"), ""))
-            places = np.stack([words, tails], axis=1).ravel()
-            sizes = self.counts[places]
-            local = self.flat[ragged(self.starts[places], sizes)]
-            counts = sizes[::2] + sizes[1::2]
-        else:
-            places = self._places(chunks)
-            counts = self.counts[places]
-            local = self.flat[ragged(self.starts[places], counts)]
+        parts = pc.extract_regex(chunks, _SIMPLE)
+        simple = pc.is_valid(parts)
+        words = self._places(pc.if_else(simple, pc.utf8_lower(parts.field("word")), chunks))
+        tails = self._places(pc.if_else(simple, parts.field("tail"), ""))
+        places = np.stack([words, tails], axis=1).ravel()
+        sizes = self.counts[places]
+        local = self.flat[ragged(self.starts[places], sizes)]
+        counts = sizes[::2] + sizes[1::2]
         starts = np.concatenate([[0], np.cumsum(counts[:-1], dtype=np.int64)])
         at = coded.indices.to_numpy()
         counts = counts[at]

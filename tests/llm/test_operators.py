@@ -75,6 +75,16 @@ OPERATORS = [
 ]
 
 
+def test_null_ids_in_leaks_and_pieces(spark, none, with_null_id):
+    bench = spark.createDataFrame([(1, "id that is null an id that is null an id"), (None, "that is null")], "item_id long, text string")
+    got = decontamination.find_leaks(with_null_id, bench)
+    assert got.where("doc_id is null AND item_id = 1").count() == 2 and got.where("doc_id is null AND item_id is null").count() == 2
+    assert decontamination.drop_leaks(with_null_id, bench).where("doc_id is null").count() == 0
+    pieces = packing.pack_documents(with_null_id)
+    assert pieces.where("doc_id is null").agg(F.sum("length")).first()[0] == 2 * pieces.where("doc_id is null").first()["doc_tokens"]
+    assert packing.pack_documents(none).count() == decontamination.find_leaks(none, bench).count() == 0
+
+
 @pytest.mark.parametrize("k", range(len(OPERATORS)))
 def test_empty_table_and_null_ids(k, none, with_null_id):
     assert OPERATORS[k](none).count() == 0
@@ -544,3 +554,121 @@ def test_multikey_quicksort():
     order, run = suffix_dedup.multikey_quicksort(words, group, 2)
     keys = [(group[k], *words[k, :2].tolist()) for k in order]
     assert keys == sorted(keys) and run.tolist() == [sorted(set(keys)).index(k) for k in keys]
+
+
+@pytest.mark.parametrize(
+    "text,found",
+    [
+        ('passphrase = "correcthorsebatterystaple"', ["correcthorsebatterystaple"]),
+        ("db_pwd: 8392017465", ["8392017465"]),
+        ("DSN = postgres://admin:Zk29fjQx@db.local/x", ["Zk29fjQx"]),
+        ('credential = \\\n  "Qk83jdLs92" +\n  "mmZ81xPq"', []),
+        ('credential =\n  "Qk83jdLs92" +\n  "mmZ81xPq"', ["Qk83jdLs92", "mmZ81xPq"]),
+        ("\n".join([f'a{k} = {f"a{k - 1} + " if k else ""}"p{k}Q{k * 7919}"' for k in range(200)] + ["signing_key = a199"]), [f"p{k}Q{k * 7919}" for k in range(200)]),
+        ('x = "Ab3"\n' + "x = x + x\n" * 60 + "private_key = x", ["Ab3"]),
+        ("the passphrase: forgotten again", []),
+        ("note: see the appendix, chapter 12", []),
+    ],
+)
+def test_planted_literals(text, found):
+    assert [text[a:b] for k, a, b in secrets.scan_text(text)[1] if k == "literal"] == found
+
+
+def test_planted_secrets_precision_and_recall(spark):
+    rng = random.Random(12)
+    alphabet = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghjkmnpqrstuvwxyz23456789"
+    rows, planted = [], {}
+    clean = [r["text"] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect()]
+    for k, t in enumerate(clean):
+        value = "".join(rng.choice(alphabet) for _ in range(20))
+        line = ('client_secret_key = "{}"', "<passphrase>{}</passphrase>", 'x{k} = "{}"\ncredential = x{k}', '{{"signing-key": "{}"}}', "run --private-key {}")[k % 5].format(value, k=k)
+        rows.append((k, f"{t}\n{line}\n" if k % 2 else t))
+        if k % 2:
+            planted[k] = value
+    base = {k: len([s for s in secrets.scan_text(t)[1] if s[0] == "literal"]) for k, t in enumerate(clean)}
+    caught = extra = 0
+    for k, t in rows:
+        spans = [t[a:b] for kind, a, b in secrets.scan_text(t)[1] if kind == "literal" or planted.get(k, "\0") in t[a:b]]
+        caught += any(planted.get(k, "\0") in s for s in spans)
+        extra += len([s for s in spans if planted.get(k, "\0") not in s])
+    assert caught >= 0.98 * len(planted) and extra == sum(base.values()) == 0
+
+
+def test_other_tokenizers_encode_whole_texts():
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    e = encoder(path)
+    texts = ["The quick brown fox, jumps over it.", "", "  two  spaces "]
+    flat, offsets = e.encode(pa.array(texts))
+    for k, t in enumerate(texts):
+        assert flat[offsets[k] : offsets[k + 1]].tolist() == e.whole.encode(t, add_special_tokens=False).ids
+
+
+def naive_score(w, x):
+    """One bag, passage by passage."""
+    h = [np.tanh(v @ w["E"] + w["e"]) for v in x]
+    logits = [float(sum(np.tanh(v @ w["V"])[j] / (1 + math.exp(-(v @ w["U"])[j])) * w["w"][j] for j in range(len(w["w"])))) for v in h]
+    top = max(logits)
+    a = [math.exp(g - top) for g in logits]
+    z = sum(k / sum(a) * v for k, v in zip(a, h, strict=True))
+    return 1 / (1 + math.exp(-float(z @ w["c"] + w["d"])))
+
+
+def test_attention_forward_and_gradients():
+    rng = np.random.default_rng(0)
+    sizes = [1, 4, 2, 7]
+    bags = np.concatenate([[0], np.cumsum(sizes)])
+    x, y = rng.normal(size=(sum(sizes), quality_classifier.FEATURES)), np.array([0.0, 1.0, 1.0, 0.0])
+    f, h, g = quality_classifier.FEATURES, quality_classifier.HIDDEN, quality_classifier.GATE
+    w = {"E": rng.normal(0, 0.1, (f, h)), "e": rng.normal(0, 0.1, h), "V": rng.normal(0, 0.2, (h, g)), "U": rng.normal(0, 0.2, (h, g)), "w": rng.normal(0, 0.5, g), "c": rng.normal(0, 0.5, h), "d": np.array(0.1)}
+    got = quality_classifier._forward(w, x, bags)["p"]
+    assert got == pytest.approx([naive_score(w, x[a:b]) for a, b in zip(bags[:-1], bags[1:], strict=True)])
+    loss = lambda: float(-np.mean(y * np.log(p := quality_classifier._forward(w, x, bags)["p"]) + (1 - y) * np.log(1 - p)))
+    grads = quality_classifier._gradients(w, x, bags, y)
+    for name, grad in grads.items():
+        for place in [tuple(rng.integers(0, n) for n in w[name].shape) for _ in range(3)]:
+            old, step = w[name][place], 1e-5
+            w[name][place] = old + step
+            up = loss()
+            w[name][place] = old - step
+            down = loss()
+            w[name][place] = old
+            assert grad[place] == pytest.approx((up - down) / (2 * step), abs=1e-6)
+
+
+def test_classifier_sample_is_whole_rows(spark):
+    d = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
+    fit, held = quality_classifier.fit, []
+    quality_classifier.fit = lambda x, bags, y: held.append((x, bags, y)) or fit(x, bags, y, epochs=1)
+    try:
+        quality_classifier.fit_from_tables(d, labels, 30)
+        quality_classifier.fit_from_tables(d, labels, 30, 60)
+    finally:
+        quality_classifier.fit = fit
+    (_, many, y1), (_, few, y2) = held
+    assert len(y1) <= 30 and 0 < len(y2) < len(y1) and few[-1] <= 60
+    assert set(np.diff(few)) <= set(np.diff(many))
+
+
+def leak_items(d):
+    return d.sparkSession.createDataFrame([(0, "one passage that is in the very long text only and nowhere else at all")], "item_id long, text string")
+
+
+LONG = [*OPERATORS, lambda d: decontamination.find_leaks(d, leak_items(d)), packing.pack_documents]
+
+
+@pytest.mark.parametrize("k", range(len(LONG)))
+def test_text_over_many_slices(k, spark):
+    """A text of 6 MB beside rows that fill several slices."""
+    rng = random.Random(k)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(5000)]
+    make = lambda n: " ".join(rng.choice(vocabulary) for _ in range(n))
+    long = make(500_000) + " one passage that is in the very long text only and nowhere else at all " + make(500_000)
+    rows = [(0, long, "en", "s"), *((i, make(800), "en", "s") for i in range(1, 900)), (900, long[: len(long) // 2], "en", "s")]
+    got = LONG[k](spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").coalesce(1))
+    if k == len(OPERATORS):
+        assert [r["doc_id"] for r in got.collect()] in ([0], [0, 900])
+    else:
+        assert got.select("doc_id").distinct().count() == 901
