@@ -123,6 +123,7 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b): node and the least node reachable, for all nodes but the least ones."""
     current = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "edges")
     while True:
+        before = current
         n = current.count()
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
@@ -133,6 +134,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(_small(least, 2 * n), "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).where("u != v").distinct()
         current = staged(small, "edges")
+        discard(before)
+        discard(large)
         # done when every node has one edge, to a node that has none
         twice = current.groupBy("u").agg(F.count("*").alias("n"), F.min("v").alias("v"))
         roots = twice.select(F.col("u").alias("v"))
@@ -263,6 +266,8 @@ def near_duplicates(docs: DataFrame, similarity: tuple[int, int] = SIMILARITY) -
         before = pairs
     if pairs:
         labels = _merged(labels, staged(_all_pairs(members, sets, similarity), "links"))
+    for done in (members, sets, reps, same):
+        discard(done)
     nodes = labels.select(F.col("node").alias("rep"), "component")
     resolved = classes.join(nodes, "rep", "left").select("set_key", F.coalesce("component", "rep").alias("component"))
     out = profile.join(resolved, "set_key", "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import bucketed, by_bucket, documents, joined_blob, mix, ragged, ship, slices, staged, text_column
+from stratiform.llm.common import bucketed, by_bucket, discard, documents, joined_blob, mix, ragged, ship, slices, staged, text_column
 
 LENGTH, KMER = 50, 16
 SPAN = LENGTH - KMER + 1
@@ -535,6 +535,8 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     spans = bucketed(sharing.mapInArrow(lambda b: _stretches(b, buckets, hot.value), _ROW), buckets).mapInArrow(lambda b: _resolve(b, buckets), _ROW)
     spans = bucketed(spans, buckets).mapInArrow(_gather, "doc_id long, tx long, spans array<long>")
     spans = staged(spans.unionByName(copies.select("doc_id", "tx", F.array("n").alias("spans"))), "spans")
+    for done in (answers, copies, least, marks):
+        discard(done)
     joined = texts.join(spans, ["doc_id", "tx"], "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(lambda b: _cut(b, with_text), _RESULT + (", kept binary" if with_text else ""))
 

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import documents, gathered, ragged, remove, scratch, ship, slices, staged, text_column
+from stratiform.llm.common import discard, documents, gathered, ragged, remove, scratch, ship, slices, staged, text_column
 from stratiform.llm.tokens import byte_blobs, default_path, encoder, with_end
 
 END_ID = 2
@@ -156,6 +156,7 @@ def write_token_files(docs: DataFrame, tokenizer: str | None = None, end_id: int
     table = spark.sparkContext.broadcast(rank_of)
     listed = ids.repartitionByRange(files, "doc_id", "crc", "n_tokens").sortWithinPartitions("doc_id", "crc", "n_tokens").mapInArrow(lambda b: _write(b, folder, table.value), "part long, file string, n_docs long, n_ids long, n_bytes long")
     listed = staged(listed, "token-files-list")
+    discard(ids)
     return folder, listed
 
 
