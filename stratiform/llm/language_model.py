@@ -1,9 +1,15 @@
 """Operator 3: language-model scores from an Elias-Fano n-gram trie with quantised smoothed probabilities.
 
 Tokens are words (A-Z folded) and one end a text; the end of the text before is the context of a text's first word.
-Level 1 is the vocabulary: sorted 64-bit word hashes with their counts, in shards by the leading bits of the hash; a
-word's id is its place. Level 2 is in shards by a hash of the word pair, so a frequent context is spread over all of
-them. A shard is a trie of its own, in one memory-mapped file:
+Level 1 is the vocabulary, in shards by the leading bits of a word's 64-bit hash, each one memory-mapped file:
+
+* ``words``: Elias-Fano of the sorted hashes, found by successor search; a word's id is its place;
+* ``counts``: exact, for the base score alone;
+* ``codes``: two bytes a word, indices into the shard's 256 evenly spaced values of log10(count + 1), its smoothed
+  probability but for a constant, and of log10(count + MU), its back-off weight as a context but for a constant.
+
+Level 2 is in shards by a hash of the word pair, so a frequent context is spread over all of them. A shard is a trie of
+its own, in one memory-mapped file:
 
 * ``contexts``: Elias-Fano of its context ids;
 * ``pointers``: Elias-Fano of where each context's successors begin;
@@ -12,7 +18,8 @@ them. A shard is a trie of its own, in one memory-mapped file:
   the next value at least that large (successor search), which must lie in the context's range and be equal;
 * ``codes``: one byte a pair, an index into the shard's 256 evenly spaced log10 values of count(pair) / (count(context) + MU).
 
-P(word | context) = that ratio + MU / (count(context) + MU) * P(word), P(word) = (count + 1) / (tokens + vocabulary + 1).
+P(word | context) = that ratio + MU / (count(context) + MU) * P(word), P(word) = (count + 1) / (tokens + vocabulary + 1),
+all three read as quantised values.
 
 Spark counts: each task counts its own words or pairs first, packs them into one blob a shard, and a shard's blobs
 meet in one task; the numbers of shards follow the corpus, so a task's share is bounded. All training texts are
@@ -84,16 +91,53 @@ def _count_words(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.Re
         yield _blobs(bucket, hashes, counts)
 
 
-def _write_words(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+def _write_words(batches: Iterator[pa.RecordBatch], folder: str, bits: int, mu: float) -> Iterator[pa.RecordBatch]:
     for bucket, table in by_bucket(batches):
         keys, counts = _summed(joined_blob(table.column("keys"), np.uint64), joined_blob(table.column("counts"), np.uint32))
-        write_bytes(folder, f"words-{bucket}", keys.tobytes())
-        write_bytes(folder, f"counts-{bucket}", counts.astype(np.uint64).tobytes())
+        write_bytes(folder, f"words-{bucket}", *(part.tobytes() for part in build_words(keys, counts, bits, mu)))
         yield pa.RecordBatch.from_pydict({"bucket": [bucket], "n": [len(keys)], "total": [int(counts.sum())]}, schema=pa.schema([("bucket", pa.int32()), ("n", pa.int64()), ("total", pa.int64())]))
 
 
+def _quantised(logs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """256 evenly spaced values and the nearest one's index for each number, as arrays of 64-bit words."""
+    steps = np.linspace(logs.min(), logs.max(), 256)
+    codes = np.rint((logs - steps[0]) / max(steps[1] - steps[0], 1e-12)).astype(np.uint8)
+    return steps.view(np.uint64), np.concatenate([codes, np.zeros(-len(codes) % 8, np.uint8)]).view(np.uint64)
+
+
+def build_words(hashes: np.ndarray, counts: np.ndarray, bits: int, mu: float = MU) -> list[np.ndarray]:
+    """The parts of a vocabulary shard from its sorted hashes, which share their leading ``bits``."""
+    rest = hashes & np.uint64((1 << (64 - bits)) - 1)
+    return [EliasFano.encode(rest, 1 << (64 - bits)), counts.astype(np.uint64), *_quantised(np.log10(counts + 1)), *_quantised(np.log10(counts + mu))]
+
+
+class Words:
+    """Reads a vocabulary shard."""
+
+    def __init__(self, data: np.ndarray, bits: int):
+        self.mask = np.uint64((1 << (64 - bits)) - 1)
+        self.hashes = EliasFano(data)
+        n, at = self.hashes.n, self.hashes.size
+        self.counts, at = data[at : at + n], at + n
+        self.levels = []
+        for _ in range(2):
+            steps, codes = data[at : at + 256].view(np.float64), data[at + 256 : at + 256 - (-n // 8)].view(np.uint8)
+            self.levels.append((steps, codes))
+            at += 256 - (-n // 8)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which sorted hashes are there, and the places of those."""
+        at, value = self.hashes.next_geq(hashes & self.mask)
+        hit = value == hashes & self.mask
+        return hit, at[hit]
+
+    def level(self, k: int, at: np.ndarray) -> np.ndarray:
+        steps, codes = self.levels[k]
+        return steps[codes[at]]
+
+
 class Vocabulary:
-    """Ids and counts of word hashes; shards are mapped when they are asked for."""
+    """Ids, counts and quantised logarithms of word hashes; shards are mapped when they are asked for."""
 
     def __init__(self, folder: str, bits: int, sizes: dict[int, int], total: int):
         self.folder, self.bits, self.total = folder, bits, total
@@ -101,23 +145,27 @@ class Vocabulary:
         starts = np.cumsum([0, *(sizes.get(k, 0) for k in range(1 << bits))])
         self.starts, self.sizes = starts, sizes
 
-    def look_up(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Each distinct hash's id (the vocabulary's size if unseen) and count."""
+    def shard(self, k: int) -> Words:
+        return Words(read_array(self.folder, f"words-{k}", np.uint64), self.bits)
+
+    def look_up(self, hashes: np.ndarray, mu: float = MU) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Each distinct hash's id (the vocabulary's size if unseen), count, and log10 of count + 1 and of count + mu as quantised."""
         ids, counts = np.full(len(hashes), self.n, np.int64), np.zeros(len(hashes), np.int64)
+        single, weight = np.zeros(len(hashes)), np.full(len(hashes), np.log10(mu))
         order = np.argsort(hashes)
         held = hashes[order]
-        cuts = np.searchsorted(held, np.array([k << (64 - self.bits) for k in range(1 << self.bits)], np.uint64)) if self.bits else np.array([0])
+        cuts = np.searchsorted(held, np.array([k << (64 - self.bits) for k in range(1 << self.bits)], np.uint64))
         cuts = np.append(cuts, len(held))
         for k in range(1 << self.bits):
             own = held[cuts[k] : cuts[k + 1]]
             if len(own) and self.sizes.get(k):
-                words, n = read_array(self.folder, f"words-{k}", np.uint64), read_array(self.folder, f"counts-{k}", np.uint64)
-                at = np.minimum(np.searchsorted(words, own), len(words) - 1)
-                hit = words[at] == own
+                words = self.shard(k)
+                hit, at = words.find(own)
                 place = order[cuts[k] : cuts[k + 1]][hit]
-                ids[place] = self.starts[k] + at[hit]
-                counts[place] = n[at[hit]]
-        return ids, counts
+                ids[place] = self.starts[k] + at
+                counts[place] = words.counts[at]
+                single[place], weight[place] = words.level(0, at), words.level(1, at)
+        return ids, counts, single, weight
 
 
 @lru_cache(maxsize=2)
@@ -154,10 +202,7 @@ def build_trie(keys: np.ndarray, counts: np.ndarray, context_counts: np.ndarray,
     largest = words[pointers[1:] - 1]
     base = np.concatenate([[0], np.cumsum(largest)[:-1]]).astype(np.uint64)
     values = words + np.repeat(base, np.diff(pointers))
-    logs = np.log10(counts / (context_counts + mu))
-    steps = np.linspace(logs.min(), logs.max(), 256)
-    codes = np.rint((logs - steps[0]) / max(steps[1] - steps[0], 1e-12)).astype(np.uint8)
-    return [EliasFano.encode(contexts), EliasFano.encode(pointers), EliasFano.encode(values), steps.view(np.uint64), np.concatenate([codes, np.zeros(-len(codes) % 8, np.uint8)]).view(np.uint64)]
+    return [EliasFano.encode(contexts), EliasFano.encode(pointers), EliasFano.encode(values), *_quantised(np.log10(counts / (context_counts + mu)))]
 
 
 class Trie:
@@ -209,7 +254,7 @@ def _counts_of(words: Vocabulary, ids: np.ndarray) -> np.ndarray:
     cuts = np.searchsorted(ids, words.starts)
     for k in range(len(words.starts) - 1):
         if cuts[k + 1] > cuts[k]:
-            out[cuts[k] : cuts[k + 1]] = read_array(words.folder, f"counts-{k}", np.uint64)[ids[cuts[k] : cuts[k + 1]].astype(np.int64) - words.starts[k]]
+            out[cuts[k] : cuts[k + 1]] = words.shard(k).counts[ids[cuts[k] : cuts[k + 1]].astype(np.int64) - words.starts[k]]
     return out
 
 
@@ -226,9 +271,8 @@ def _score(batches: Iterator[pa.RecordBatch], vocabulary: tuple, shards: int, ha
     n, v = words.total, words.n
     for batch in gathered(batches):
         hashes, at, offsets = _tokens(text_column(batch))
-        ids, counts = words.look_up(hashes)
+        ids, counts, single, weight = words.look_up(hashes, mu)
         base = np.log10((counts + 1) / (n + v + 1))
-        single = (counts + 1) / (n + v + 1)
         context = _pairs(at, offsets)
         keys = ids[context].astype(np.uint64) << np.uint64(32) | ids[at].astype(np.uint64)
         order = np.argsort(keys, kind="stable")
@@ -243,7 +287,7 @@ def _score(batches: Iterator[pa.RecordBatch], vocabulary: tuple, shards: int, ha
             own = by[cuts[k] : cuts[k + 1]]
             if len(own) and k in have:
                 ratio[own] = 10.0 ** _trie(words.folder, k).log10(distinct[own] >> np.uint64(32), distinct[own] & np.uint64(0xFFFFFFFF))
-        p = np.log10(ratio[of] + mu / (counts[context] + mu) * single[at])
+        p = np.log10(ratio[of] + mu / (n + v + 1) * 10.0 ** (single[at] - weight[context]))
         sums = [np.add.reduceat(x, offsets[:-1]) for x in ((counts > 0)[at].astype(np.int64), base[at], p)]
         size = np.diff(offsets)
         yield pa.RecordBatch.from_arrays(
@@ -259,10 +303,10 @@ def score_documents(docs: DataFrame, mu: float = MU) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (crc_bucket("doc_id", FOLDS) == HELD_OUT).alias("held_out"), F.col("text").cast("string").alias("text"))
     train = texts.where("not held_out").select("text")
     size = train.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(0, (size // WORD_SHARD_BYTES).bit_length())
+    bits = max(1, (size // WORD_SHARD_BYTES).bit_length())
     shards = max(1, -(-size // PAIR_SHARD_BYTES))
     folder = scratch(spark, "trie")
-    listed = staged(bucketed(train.mapInArrow(lambda b: _count_words(b, bits), _BLOB), 1 << bits).mapInArrow(lambda b: _write_words(b, folder), "bucket int, n long, total long"), "words")
+    listed = staged(bucketed(train.mapInArrow(lambda b: _count_words(b, bits), _BLOB), 1 << bits).mapInArrow(lambda b: _write_words(b, folder, bits, mu), "bucket int, n long, total long"), "words")
     rows = listed.collect()  # one a shard
     vocabulary = (folder, bits, tuple(sorted((x["bucket"], x["n"]) for x in rows)), sum(x["total"] for x in rows))
     pairs = bucketed(train.mapInArrow(lambda b: _count_pairs(b, vocabulary, shards), _BLOB), shards).mapInArrow(lambda b: _write_pairs(b, vocabulary, mu), "bucket int, n long")
