@@ -160,7 +160,8 @@ def _open(rows: DataFrame) -> DataFrame:
     parts = rows.groupBy("bucket", "last", "c").agg(F.count("*").alias("k"), F.min("doc").alias("least"))
     largest = F.max(F.struct(F.col("k").alias("most"), F.col("c").alias("main"))).alias("top")
     whole = parts.groupBy("bucket", "last").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("k")).alias("own"), F.min("least").alias("centre"), F.count("*").alias("parts"), largest).where("parts > 1")
-    return rows.join(whole.select("bucket", "last", "n", "top.most", "top.main", ((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"), "centre"), ["bucket", "last"])
+    whole = staged(whole.select("bucket", "last", "n", "top.most", "top.main", ((F.col("n") * F.col("n") - F.col("own")) / 2).alias("pairs"), "centre"), "open")
+    return rows.join(_small(whole, whole.count()), ["bucket", "last"])
 
 
 def _across(cell: pa.Table, similarity: tuple[int, int]) -> pa.Table:
