@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from stratiform.llm.common import bucketed, by_bucket, crc_bucket, documents, gathered, hash_values, joined_blob, mix, ragged, read_array, scratch, ship, split_words, staged, text_column, write_bytes
 from stratiform.llm.elias_fano import EliasFano
 
-MU = 50.0
+MU = 300.0
 FOLDS, HELD_OUT = 7, 2
 #: Text bytes for each vocabulary shard and for each pair shard.
 WORD_SHARD_BYTES, PAIR_SHARD_BYTES = 64 << 20, 24 << 20
