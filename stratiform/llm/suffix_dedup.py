@@ -53,7 +53,6 @@ _SPAN = np.dtype([("doc", "<i8"), ("tx", "<i8"), ("start", "<u4"), ("end", "<u4"
 _ROW = "bucket int, spans boolean, heads binary, bytes binary"
 #: An anchor with the key of its text, or with no key and the number of texts that have it.
 _ASK = np.dtype([("g", "<u8"), ("key", "<i8"), ("n", "<u2")])
-_SHARED = np.dtype([("key", "<i8"), ("g", "<u8")])
 _ASKED = "bucket int, ready boolean, asks binary, shared binary"
 
 
@@ -125,15 +124,41 @@ def _runs(sorted_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(head), np.cumsum(head) - 1
 
 
-def _blob_rows(bucket: np.ndarray, items: np.ndarray, ready: bool) -> Iterator[pa.RecordBatch]:
-    """The items as one blob a bucket."""
-    order = np.argsort(bucket, kind="stable")
-    bucket = bucket[order]
+def _message(buckets: np.ndarray, blobs: list[bytes], ready: bool) -> pa.RecordBatch:
+    column, none = pa.array(blobs, pa.binary()), pa.nulls(len(blobs), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array([ready] * len(blobs), pa.bool_()), none if ready else column, column if ready else none], names=["bucket", "ready", "asks", "shared"])
+
+
+def _ask_blobs(asks: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Asks in order of their hash, as one blob a bucket."""
+    bucket = _bucket(asks["g"], buckets)
     heads, _ = _runs(bucket)
     cuts = np.append(heads, len(bucket))
-    blobs = pa.array([items[order[a:b]].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())
-    none = pa.nulls(len(heads), pa.binary())
-    yield pa.RecordBatch.from_arrays([pa.array(bucket[heads], pa.int32()), pa.array([ready] * len(heads)), none if ready else blobs, blobs if ready else none], names=["bucket", "ready", "asks", "shared"])
+    return _message(bucket[heads], [asks[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], False)
+
+
+def _shared_blobs(key: np.ndarray, g: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Texts with their shared anchors, one blob a bucket of texts: the number of texts, keys, counts, and 32 bits of each anchor.
+
+    Two anchors of a text that agree in those bits may bring a stretch along that nobody shares; sorting finds that out.
+    """
+    bucket = _key_bucket(key, buckets)
+    order = np.lexsort((key, bucket))
+    key, g, bucket = key[order], g[order].astype(np.uint32), bucket[order]
+    heads, _ = _runs(bucket)
+    cuts, blobs = np.append(heads, len(bucket)), []
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        first, _ = _runs(key[a:b])
+        blobs.append(b"".join((np.uint32(len(first)).tobytes(), key[a:b][first].tobytes(), np.diff(np.append(first, b - a)).astype(np.uint32).tobytes(), g[a:b].tobytes())))
+    return _message(bucket[heads], blobs, True)
+
+
+def _read_shared(blob: pa.Buffer) -> tuple[np.ndarray, np.ndarray]:
+    """The key and the anchor bits of each entry."""
+    raw = np.frombuffer(blob, np.uint8)
+    n = int(raw[:4].copy().view(np.uint32)[0])
+    keys, counts = raw[4 : 4 + 8 * n].copy().view(np.int64), raw[4 + 8 * n : 4 + 12 * n].copy().view(np.uint32)
+    return np.repeat(keys, counts), raw[4 + 12 * n :].copy().view(np.uint32)
 
 
 def _key_bucket(key: np.ndarray, buckets: int) -> np.ndarray:
@@ -157,21 +182,18 @@ def _ask(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordB
         texts = np.diff(np.append(heads, len(g)))
         asks = np.zeros(len(heads), _ASK)
         asks["g"], asks["key"], asks["n"] = g[heads], np.where(texts == 1, key[heads], 0), np.minimum(texts, 65535)
-        yield from _blob_rows(_bucket(asks["g"], buckets), asks, False)
+        yield _ask_blobs(asks, buckets)
         several = texts[run] > 1
         if several.any():
-            shared = np.zeros(int(several.sum()), _SHARED)
-            shared["key"], shared["g"] = key[several], g[several]
-            yield from _blob_rows(_key_bucket(shared["key"], buckets), shared, True)
+            yield _shared_blobs(key[several], g[several], buckets)
 
 
 def _answer(batches: Iterator[pa.RecordBatch], buckets: int, limit: int) -> Iterator[pa.RecordBatch]:
     """The anchors of two texts or more, to their texts' buckets, and those of more than ``limit`` texts to bucket -1."""
-    for _, table in by_bucket(batches):
-        ready = table.column("ready").combine_chunks()
-        for x in table.filter(ready).column("shared"):
-            own = np.frombuffer(x.as_buffer(), _SHARED)
-            yield from _blob_rows(_key_bucket(own["key"], buckets), own, True)
+    for bucket, table in by_bucket(batches):
+        known = [x.as_py() for x in table.filter(table.column("ready").combine_chunks()).column("shared")]
+        if known:
+            yield _message(np.full(len(known), bucket), known, True)
         asks = joined_blob(table.column("asks"), _ASK)
         asks = asks[np.argsort(asks["g"], kind="stable")]
         heads, run = _runs(asks["g"])
@@ -180,27 +202,23 @@ def _answer(batches: Iterator[pa.RecordBatch], buckets: int, limit: int) -> Iter
         total = np.add.reduceat(asks["n"].astype(np.int64), heads)
         single = (asks["n"] == 1) & (total[run] > 1)
         if single.any():
-            shared = np.zeros(int(single.sum()), _SHARED)
-            shared["key"], shared["g"] = asks["key"][single], asks["g"][single]
-            yield from _blob_rows(_key_bucket(shared["key"], buckets), shared, True)
+            yield _shared_blobs(asks["key"][single], asks["g"][single], buckets)
         many = total > limit
         if many.any():
-            hot = np.zeros(int(many.sum()), _SHARED)
-            hot["g"] = asks["g"][heads][many]
-            yield from _blob_rows(np.full(len(hot), -1), hot, True)
+            yield _message(np.array([-1]), [asks["g"][heads][many].tobytes()], True)
 
 
 def _per_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row a text with all its shared anchors."""
     for _, table in by_bucket(batches):
-        shared = joined_blob(table.column("shared"), _SHARED)
-        shared = shared[np.lexsort((shared["g"], shared["key"]))]
-        heads, _ = _runs(shared["key"])
-        ends = np.append(heads, len(shared))
-        g = np.ascontiguousarray(shared["g"])
+        key, g = (np.concatenate(x) for x in zip(*(_read_shared(x.as_buffer()) for x in table.column("shared")), strict=True))
+        order = np.lexsort((g, key))
+        key, g = key[order], g[order]
+        heads, _ = _runs(key)
+        ends = np.append(heads, len(key))
         for a in range(0, len(heads), 10_000):
             own = range(a, min(a + 10_000, len(heads)))
-            yield pa.RecordBatch.from_arrays([pa.array(shared["key"][heads[a : a + 10_000]]), pa.array([g[ends[k] : ends[k + 1]].tobytes() for k in own], pa.binary())], names=["key", "gs"])
+            yield pa.RecordBatch.from_arrays([pa.array(key[heads[a : a + 10_000]]), pa.array([g[ends[k] : ends[k + 1]].tobytes() for k in own], pa.binary())], names=["key", "gs"])
 
 
 def _among(g: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -218,7 +236,7 @@ def _stretches(batches: Iterator[pa.RecordBatch], buckets: int, hot_anchors: np.
         shared = np.zeros(len(g), bool)
         for k, gs in enumerate(batch.column("gs")):
             own = by_place[cuts[k] : cuts[k + 1]]
-            shared[own] = _among(g[own], np.frombuffer(gs.as_buffer(), np.uint64))
+            shared[own] = _among(g[own].astype(np.uint32), np.frombuffer(gs.as_buffer(), np.uint32))
         hot = _among(g, hot_anchors)
         shared &= ~hot
         single = ragged(low[hot], high[hot] - low[hot] + 1)  # windows that travel alone
@@ -528,8 +546,8 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     limit = max(HOT, total // ANCHOR_BYTES // MOST_HOT)
     asked = bucketed(reps.mapInArrow(lambda b: _ask(b, buckets), _ASKED), buckets).mapInArrow(lambda b: _answer(b, buckets, limit), _ASKED)
     answers = staged(asked, "answers")
-    found = joined_blob(answers.where("bucket = -1").select("shared").toArrow().column("shared"), _SHARED)  # about MOST_HOT at most
-    hot = spark.sparkContext.broadcast(np.sort(found["g"]))
+    found = joined_blob(answers.where("bucket = -1").select("shared").toArrow().column("shared"), np.uint64)  # about MOST_HOT at most
+    hot = spark.sparkContext.broadcast(np.sort(found))
     shared = bucketed(answers.where("bucket >= 0"), buckets).mapInArrow(_per_text, "key long, gs binary")
     sharing = reps.join(shared, "key").select("doc_id", "tx", "text", "gs")
     spans = bucketed(sharing.mapInArrow(lambda b: _stretches(b, buckets, hot.value), _ROW), buckets).mapInArrow(lambda b: _resolve(b, buckets), _ROW)
