@@ -7,6 +7,7 @@ Both choices are ASCII rules, so they can be applied to UTF-8 bytes without deco
 from __future__ import annotations
 
 import ctypes
+import gc
 import tempfile
 import uuid
 import zipfile
@@ -72,6 +73,12 @@ def discard(df: DataFrame) -> None:
         remove(df.sparkSession, path)
 
 
+def free(spark: SparkSession) -> None:
+    """Have the driver find that shuffles are no longer referred to, so that executors delete their files."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 _shipped: set[str] = set()
 
 

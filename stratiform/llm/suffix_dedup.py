@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratiform.llm.common import bucketed, by_bucket, discard, documents, joined_blob, mix, ragged, ship, slices, staged, text_column
+from stratiform.llm.common import bucketed, by_bucket, discard, documents, free, joined_blob, mix, ragged, ship, slices, staged, text_column
 
 LENGTH, KMER = 50, 16
 SPAN = LENGTH - KMER + 1
@@ -546,6 +546,8 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     limit = max(HOT, total // ANCHOR_BYTES // MOST_HOT)
     asked = bucketed(reps.mapInArrow(lambda b: _ask(b, buckets), _ASKED), buckets).mapInArrow(lambda b: _answer(b, buckets, limit), _ASKED)
     answers = staged(asked, "answers")
+    del asked
+    free(spark)
     found = joined_blob(answers.where("bucket = -1").select("shared").toArrow().column("shared"), np.uint64)  # about MOST_HOT at most
     hot = spark.sparkContext.broadcast(np.sort(found))
     shared = bucketed(answers.where("bucket >= 0"), buckets).mapInArrow(_per_text, "key long, gs binary")
@@ -555,6 +557,8 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     spans = staged(spans.unionByName(copies.select("doc_id", "tx", F.array("n").alias("spans"))), "spans")
     for done in (answers, copies, least, marks):
         discard(done)
+    del answers, shared, sharing, reps, copies, ids, least, marks
+    free(spark)
     joined = texts.join(spans, ["doc_id", "tx"], "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(lambda b: _cut(b, with_text), _RESULT + (", kept binary" if with_text else ""))
 
