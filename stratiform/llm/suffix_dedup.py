@@ -51,8 +51,11 @@ ANCHOR_BYTES = 18
 _HEAD = np.dtype([("g", "<u8"), ("doc", "<i8"), ("tx", "<i8"), ("start", "<u4"), ("windows", "u1"), ("before", "u1")])
 _SPAN = np.dtype([("doc", "<i8"), ("tx", "<i8"), ("start", "<u4"), ("end", "<u4")])
 _ROW = "bucket int, spans boolean, heads binary, bytes binary"
-#: An anchor with the key of its text, or with no key and the number of texts that have it.
-_ASK = np.dtype([("g", "<u8"), ("key", "<i8"), ("n", "<u2")])
+#: 48 bits of an anchor's hash with the key of its text, or with the number of texts that have it. Two anchors that agree
+#: in those bits bring stretches along that nobody shares; sorting finds that out.
+_SINGLE = np.dtype([("low", "<u4"), ("high", "<u2"), ("key", "<i8")])
+_SEVERAL = np.dtype([("low", "<u4"), ("high", "<u2"), ("n", "<u2")])
+_BITS = np.uint64((1 << 48) - 1)
 _ASKED = "bucket int, ready boolean, asks binary, shared binary"
 
 
@@ -129,12 +132,28 @@ def _message(buckets: np.ndarray, blobs: list[bytes], ready: bool) -> pa.RecordB
     return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array([ready] * len(blobs), pa.bool_()), none if ready else column, column if ready else none], names=["bucket", "ready", "asks", "shared"])
 
 
-def _ask_blobs(asks: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Asks in order of their hash, as one blob a bucket."""
-    bucket = _bucket(asks["g"], buckets)
+def _ask_blobs(g: np.ndarray, key: np.ndarray, n: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Anchors in order of their hash, as one blob a bucket: the number of single ones, those, then the others."""
+    bucket = _bucket(g, buckets)
     heads, _ = _runs(bucket)
-    cuts = np.append(heads, len(bucket))
-    return _message(bucket[heads], [asks[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], False)
+    cuts, blobs = np.append(heads, len(bucket)), []
+    for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+        one = n[a:b] == 1
+        single, several = np.zeros(int(one.sum()), _SINGLE), np.zeros(int((~one).sum()), _SEVERAL)
+        for rows, chosen in ((single, one), (several, ~one)):
+            rows["low"], rows["high"] = g[a:b][chosen].astype(np.uint32), (g[a:b][chosen] >> np.uint64(32)).astype(np.uint16)
+        single["key"], several["n"] = key[a:b][one], np.minimum(n[a:b][~one], 65535)
+        blobs.append(np.uint32(len(single)).tobytes() + single.tobytes() + several.tobytes())
+    return _message(bucket[heads], blobs, False)
+
+
+def _read_asks(blob: pa.Buffer) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """48 bits, key and number of texts of each ask."""
+    raw = np.frombuffer(blob, np.uint8)
+    cut = 4 + _SINGLE.itemsize * int(raw[:4].copy().view(np.uint32)[0])
+    single, several = raw[4:cut].copy().view(_SINGLE), raw[cut:].copy().view(_SEVERAL)
+    g = [x["low"].astype(np.uint64) | x["high"].astype(np.uint64) << np.uint64(32) for x in (single, several)]
+    return np.concatenate(g), np.concatenate([single["key"], np.zeros(len(several), np.int64)]), np.concatenate([np.ones(len(single), np.int64), several["n"].astype(np.int64)])
 
 
 def _shared_blobs(key: np.ndarray, g: np.ndarray, buckets: int) -> pa.RecordBatch:
@@ -180,9 +199,7 @@ def _ask(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordB
         g, key = g[new], key[new]
         heads, run = _runs(g)
         texts = np.diff(np.append(heads, len(g)))
-        asks = np.zeros(len(heads), _ASK)
-        asks["g"], asks["key"], asks["n"] = g[heads], np.where(texts == 1, key[heads], 0), np.minimum(texts, 65535)
-        yield _ask_blobs(asks, buckets)
+        yield _ask_blobs(g[heads], key[heads], texts, buckets)
         several = texts[run] > 1
         if several.any():
             yield _shared_blobs(key[several], g[several], buckets)
@@ -194,18 +211,20 @@ def _answer(batches: Iterator[pa.RecordBatch], buckets: int, limit: int) -> Iter
         known = [x.as_py() for x in table.filter(table.column("ready").combine_chunks()).column("shared")]
         if known:
             yield _message(np.full(len(known), bucket), known, True)
-        asks = joined_blob(table.column("asks"), _ASK)
-        asks = asks[np.argsort(asks["g"], kind="stable")]
-        heads, run = _runs(asks["g"])
-        if not len(heads):
+        asks = [_read_asks(x.as_buffer()) for x in table.column("asks") if x.is_valid]
+        if not asks:
             continue
-        total = np.add.reduceat(asks["n"].astype(np.int64), heads)
-        single = (asks["n"] == 1) & (total[run] > 1)
+        g, key, n = (np.concatenate(x) for x in zip(*asks, strict=True))
+        order = np.argsort(g, kind="stable")
+        g, key, n = g[order], key[order], n[order]
+        heads, run = _runs(g)
+        total = np.add.reduceat(n, heads)
+        single = (n == 1) & (total[run] > 1)
         if single.any():
-            yield _shared_blobs(asks["key"][single], asks["g"][single], buckets)
+            yield _shared_blobs(key[single], g[single], buckets)
         many = total > limit
         if many.any():
-            yield _message(np.array([-1]), [asks["g"][heads][many].tobytes()], True)
+            yield _message(np.array([-1]), [g[heads][many].tobytes()], True)
 
 
 def _per_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,7 +256,7 @@ def _stretches(batches: Iterator[pa.RecordBatch], buckets: int, hot_anchors: np.
         for k, gs in enumerate(batch.column("gs")):
             own = by_place[cuts[k] : cuts[k + 1]]
             shared[own] = _among(g[own].astype(np.uint32), np.frombuffer(gs.as_buffer(), np.uint32))
-        hot = _among(g, hot_anchors)
+        hot = _among(g & _BITS, hot_anchors)
         shared &= ~hot
         single = ragged(low[hot], high[hot] - low[hot] + 1)  # windows that travel alone
         size = (high - low + 1)[hot]
