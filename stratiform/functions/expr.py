@@ -24,6 +24,12 @@ def row_hash(columns: Sequence[str | Column], separator: str = "||", null: str =
     return F.sha2(F.concat_ws(separator, *[F.concat(F.length(t).cast("string"), F.lit(":"), t) for t in texts]), 256)
 
 
+def change_hash(columns: Sequence[str | Column]) -> Column:
+    """``row_hash`` that also tells null from the empty text, for judging whether a row changed."""
+    nulls = F.concat(F.lit(""), *[F.when(col(c).isNull(), "0").otherwise("1") for c in columns])
+    return row_hash([*columns, nulls])
+
+
 def plain_hash(columns: Sequence[str | Column], separator: str = "||", null: str = "") -> Column:
     """SHA-256 of the columns joined by the separator, nulls as ``null``."""
     return F.sha2(F.concat_ws(separator, *[F.coalesce(col(c).cast("string"), F.lit(null)) for c in columns]), 256)

@@ -66,9 +66,9 @@ def update_where(df: DataFrame, condition: Column, assignments: Mapping[str, Col
 
 def snapshot_diff(old: DataFrame, new: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Keys that were inserted, deleted or changed between two snapshots: what a change feed would give."""
-    from stratiform.functions.expr import row_hash
+    from stratiform.functions.expr import change_hash
 
-    a = old.select(*keys, row_hash(columns).alias("_a"))
-    b = new.select(*keys, row_hash(columns).alias("_b"))
+    a = old.select(*keys, change_hash(columns).alias("_a"))
+    b = new.select(*keys, change_hash(columns).alias("_b"))
     kind = F.when(F.col("_a").isNull(), "insert").when(F.col("_b").isNull(), "delete").when(F.col("_a") != F.col("_b"), "update")
     return a.join(b, list(keys), "full").select(*keys, kind.alias("change_type")).where("change_type is not null")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stratiform.functions.expr import OPEN_END, row_hash
+from stratiform.functions.expr import OPEN_END, change_hash
 from stratiform.operators.dedup import assert_unique
 
 FROM, TO, CURRENT = "effective_from", "effective_to", "is_current"
@@ -26,8 +26,8 @@ def initial(source: DataFrame, as_of: dt.date | Column) -> DataFrame:
 
 def new_or_changed(dim: DataFrame, source: DataFrame, keys: Sequence[str], attributes: Sequence[str]) -> DataFrame:
     """Source rows whose key has no current row, or one with other attributes; ``_kind`` is new or changed."""
-    current = dim.where(CURRENT).select(*keys, row_hash(attributes).alias("_old"))
-    out = source.withColumn("_new", row_hash(attributes)).join(current, list(keys), "left")
+    current = dim.where(CURRENT).select(*keys, change_hash(attributes).alias("_old"))
+    out = source.withColumn("_new", change_hash(attributes)).join(current, list(keys), "left")
     return out.where(~F.col("_new").eqNullSafe(F.col("_old"))).withColumn("_kind", F.when(F.col("_old").isNull(), "new").otherwise("changed")).drop("_new", "_old")
 
 
@@ -58,8 +58,8 @@ def apply(dim: DataFrame, source: DataFrame, keys: Sequence[str], attributes: Se
     columns = [c for c in source.columns if c not in (FROM, TO, CURRENT)]
     source = source.select(columns)
     current = dim.where(CURRENT)
-    c = current.withColumn("_c", row_hash(attributes)).alias("c")
-    s = source.withColumn("_s", row_hash(attributes)).alias("s")
+    c = current.withColumn("_c", change_hash(attributes)).alias("c")
+    s = source.withColumn("_s", change_hash(attributes)).alias("s")
     joined = c.join(s, [F.col(f"c.{k}") == F.col(f"s.{k}") for k in keys], "full")
     changed = F.col("c._c").isNotNull() & F.col("s._s").isNotNull() & (F.col("c._c") != F.col("s._s"))
     same_day = changed & (_not_before(F.col(f"c.{FROM}"), as_of, F.col(f"c.{FROM}")) == F.lit(as_of))
@@ -106,8 +106,8 @@ def rebuild(dim: DataFrame, late: DataFrame, keys: Sequence[str], attributes: Se
     """
     columns = [*keys, *attributes, FROM]
     every = dim.select(*columns, F.lit(None).cast(late.schema[arrival].dataType).alias(arrival)).unionByName(late.select(*columns, arrival))
-    start = Window.partitionBy(*keys, FROM).orderBy(F.col(arrival).desc_nulls_last(), row_hash(attributes))
-    once = every.withColumn("_r", F.row_number().over(start)).where("_r = 1").withColumn("_h", row_hash(attributes))
+    start = Window.partitionBy(*keys, FROM).orderBy(F.col(arrival).desc_nulls_last(), change_hash(attributes))
+    once = every.withColumn("_r", F.row_number().over(start)).where("_r = 1").withColumn("_h", change_hash(attributes))
     line = Window.partitionBy(*keys).orderBy(FROM)
     once = once.withColumn("_p", F.lag("_h").over(line)).where(~F.col("_h").eqNullSafe(F.col("_p")))
     after = F.lead(FROM).over(line)

@@ -36,6 +36,12 @@ def test_apply(spark, one, two):
     assert scd2.bad_order(same_day).count() == scd2.gaps(same_day, ["k"]).count() == scd2.several_current(same_day, ["k"]).count() == 0
 
 
+def test_null_to_empty_is_a_change(spark):
+    dim, empty = scd2.initial(frame(spark, {1: (None, None)}), dt.date(2024, 1, 1)), frame(spark, {1: ("", None)})
+    assert [r["_kind"] for r in scd2.new_or_changed(dim, empty, ["k"], ["a", "b"]).collect()] == ["changed"]
+    assert scd2.new_or_changed(dim, frame(spark, {1: (None, None)}), ["k"], ["a", "b"]).count() == 0
+
+
 def test_apply_refuses_or_takes_the_past(spark):
     d = dt.date
     dim = scd2.initial(frame(spark, {1: ("x", 1), 2: ("y", 1)}), d(2024, 6, 1))
