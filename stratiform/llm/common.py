@@ -59,11 +59,11 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write to the shared folder and read back; survives the loss of executors."""
+def staged(df: DataFrame, name: str, **options: str) -> DataFrame:
+    """Cut lineage: write to the shared folder and read back; survives the loss of executors. ``options`` go to the writer."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(**{"compression": "zstd", **options}).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

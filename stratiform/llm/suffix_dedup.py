@@ -44,6 +44,8 @@ SPAN = LENGTH - KMER + 1
 SHALLOW = 32
 BUCKET_BYTES = 16 << 20
 MOST_BROADCAST = 1_000_000
+#: Bytes of a row group of the written stretches.
+BLOCK_BYTES = 16 << 20
 #: Texts that share an anchor from which its windows travel alone, and the most such anchors.
 HOT, MOST_HOT = 20_000, 1_000_000
 #: Bytes of text for each anchor, about.
@@ -571,12 +573,17 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     hot = spark.sparkContext.broadcast(np.sort(found))
     shared = bucketed(answers.where("bucket >= 0"), buckets).mapInArrow(_per_text, "key long, gs binary")
     sharing = reps.join(shared, "key").select("doc_id", "tx", "text", "gs")
-    spans = bucketed(sharing.mapInArrow(lambda b: _stretches(b, buckets, hot.value), _ROW), buckets).mapInArrow(lambda b: _resolve(b, buckets), _ROW)
+    # written, so that the shuffles of anchors and of texts go before the stretches' begins; small row groups bound a reader's memory
+    stretches = staged(sharing.mapInArrow(lambda b: _stretches(b, buckets, hot.value), _ROW), "stretches", **{"parquet.block.size": str(BLOCK_BYTES)})
+    discard(answers)
+    del answers, shared, sharing, reps
+    free(spark)
+    spans = bucketed(stretches, buckets).mapInArrow(lambda b: _resolve(b, buckets), _ROW)
     spans = bucketed(spans, buckets).mapInArrow(_gather, "doc_id long, tx long, spans array<long>")
     spans = staged(spans.unionByName(copies.select("doc_id", "tx", F.array("n").alias("spans"))), "spans")
-    for done in (answers, copies, least, marks):
+    for done in (stretches, copies, least, marks):
         discard(done)
-    del answers, shared, sharing, reps, copies, ids, least, marks
+    del stretches, copies, ids, least, marks
     free(spark)
     joined = texts.join(spans, ["doc_id", "tx"], "left").select("doc_id", "text", "spans")
     return joined.mapInArrow(lambda b: _cut(b, with_text), _RESULT + (", kept binary" if with_text else ""))
